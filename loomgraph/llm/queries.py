@@ -6,10 +6,26 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from loomgraph.llm import decontam, mixing
+from loomgraph.llm import decontam, langid, mixing, quality, secrets, simhash
 from loomgraph.llm.common import table
 
 
+def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.scored(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op2_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.findings(table(spark, sf_dir, "documents"))
+
+
+def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+def op5_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.predictions(table(spark, sf_dir, "documents"))
+
+
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixed(table(spark, sf_dir, "documents"))
 
@@ -19,7 +35,7 @@ def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op8_mixing": op8_mixing, "op9_decontamination": op9_decontamination}
+    return {f.__name__: f for f in (op1_quality, op2_secrets, op4_simhash, op5_langid, op8_mixing, op9_decontamination)}
 
 
 def oracle_sql() -> dict[str, str]:
