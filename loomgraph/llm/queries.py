@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from loomgraph.llm import decontam, langid, mixing, quality, secrets, simhash
+from loomgraph.llm import decontam, langid, lpf, mixing, quality, secrets, simhash
 from loomgraph.llm.common import table
 
 
@@ -18,6 +18,10 @@ def op2_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.findings(table(spark, sf_dir, "documents"))
 
 
+def op3_lpf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lpf.deduplicated(table(spark, sf_dir, "documents"))
+
+
 def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -35,7 +39,7 @@ def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_quality, op2_secrets, op4_simhash, op5_langid, op8_mixing, op9_decontamination)}
+    return {f.__name__: f for f in (op1_quality, op2_secrets, op3_lpf, op4_simhash, op5_langid, op8_mixing, op9_decontamination)}
 
 
 def oracle_sql() -> dict[str, str]:
