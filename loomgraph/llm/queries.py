@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from loomgraph.llm import decontam, langid, lpf, mixing, quality, secrets, simhash
+from loomgraph.llm import chat, decontam, langid, licenses, lpf, mixing, quality, secrets, simhash
 from loomgraph.llm.common import table
 
 
@@ -30,6 +30,14 @@ def op5_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.predictions(table(spark, sf_dir, "documents"))
 
 
+def op6_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scanned(table(spark, sf_dir, "documents"))
+
+
+def op7_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.by_neighbours(table(spark, sf_dir, "conversations"))
+
+
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixed(table(spark, sf_dir, "documents"))
 
@@ -39,8 +47,8 @@ def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_quality, op2_secrets, op3_lpf, op4_simhash, op5_langid, op8_mixing, op9_decontamination)}
+    return {f.__name__: f for f in (op1_quality, op2_secrets, op3_lpf, op4_simhash, op5_langid, op6_licenses, op7_chat, op8_mixing, op9_decontamination)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op8_mixing": mixing.ORACLE_SQL}
+    return {"op7_chat": chat.ORACLE_SQL, "op8_mixing": mixing.ORACLE_SQL}
