@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+import corpus_pipeline
 from loomgraph.llm import ann, chat, decontam, langid, licenses, lpf, mixing, quality, secrets, simhash
 from loomgraph.llm.common import table
 
@@ -50,8 +51,12 @@ def op10_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann.nearest(table(spark, sf_dir, "embeddings"))
 
 
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_quality, op2_secrets, op3_lpf, op4_simhash, op5_langid, op6_licenses, op7_chat, op8_mixing, op9_decontamination, op10_ann)}
+    return {f.__name__: f for f in (op1_quality, op2_secrets, op3_lpf, op4_simhash, op5_langid, op6_licenses, op7_chat, op8_mixing, op9_decontamination, op10_ann, pipeline)}
 
 
 def oracle_sql() -> dict[str, str]:
