@@ -6,7 +6,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loomgraph.llm.common import checkpointed
+from loomgraph.llm.common import checkpointed, discard, written
 
 MAX_ROUNDS = 60
 
@@ -39,7 +39,9 @@ def _state(edges: DataFrame) -> tuple:
 def components(edges: DataFrame) -> DataFrame:
     """From edges (u, v) to (u, root) for every node but the roots themselves; root is the component's smallest node.
 
-    Minima are partial aggregates, so a hub costs each task one row; rounds grow with the logarithm of the longest path.
+    Minima are partial aggregates, so a hub costs each task one row.  They are written before they are joined: Spark then
+    deals both sides of the join itself and can split a hub's edges over tasks.  Rounds grow with the logarithm of the
+    longest path.
     """
     edges = checkpointed(edges.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).where("u <> v").distinct())
     state = _state(edges)
@@ -47,11 +49,13 @@ def components(edges: DataFrame) -> DataFrame:
         if not state[0]:
             break
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
-        low = large.groupBy("u").agg(F.min("v").alias("m"))
+        least, first = written(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")), "least")
+        large, second = written(both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct(), "large")
+        low, third = written(large.groupBy("u").agg(F.min("v").alias("m")), "low")
         small = large.join(low, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
         edges = checkpointed(small.unionByName(low.select("u", F.col("m").alias("v"))).distinct())
+        for path in (first, second, third):
+            discard(edges.sparkSession, path)
         now = _state(edges)
         if now == state:
             break
