@@ -1,4 +1,4 @@
-"""Queries and their SQL equivalents."""
+"""Queries over the star-schema tables, one or more for each operator, and their SQL equivalents."""
 
 from __future__ import annotations
 
@@ -6,17 +6,684 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from loomgraph.catalog_sql import SQL
+from loomgraph.functions import text
+from loomgraph.model import Graph
+from loomgraph.operators import algorithms, linkage, metrics, projection, search, taxonomy, view
+from loomgraph.plans import catalogue
+from loomgraph.sources import tables
+from loomgraph.streaming import windows
+
+Query = Callable[[SparkSession, str], DataFrame]
+QUERIES: dict[str, Query] = {}
+
+PART, ORDER, BRAND = "7", "7", "Brand#23"
+
+
+def query(f: Query) -> Query:
+    QUERIES[f.__name__] = f
+    return f
+
+
+def on_graph(f: Callable[[Graph], DataFrame]) -> Callable[[Graph], DataFrame]:
+    QUERIES[f.__name__] = lambda spark, sf_dir: f(tables.graph(spark, sf_dir))
+    return f
 
 
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
-    read = lambda name: spark.read.parquet(f"{sf_dir}/{name}.parquet")
-    covered = read("lineitem").groupBy(F.col("l_partkey").alias("p_partkey")).agg(F.count(F.lit(1)).alias("mention_count"), F.countDistinct("l_orderkey").alias("source_count"))
-    return read("part").select("p_partkey", "p_name").join(covered, "p_partkey", "left").na.fill(0, ["mention_count", "source_count"])
+    return f2_mention_counts(tables.graph(spark, sf_dir))
+
+
+# scans, builders and sinks -------------------------------------------------------------------------------------------
+
+
+@on_graph
+def a14_counts(g: Graph) -> DataFrame:
+    return metrics.counting_units(g)
+
+
+@on_graph
+def b5_from_source(g: Graph) -> DataFrame:
+    """Edges whose both ends exist, each once."""
+    edges = g.from_source.join(g.items.select("item_id"), "item_id").join(g.sources.select(F.col("bibtex").alias("ref")), "ref").dropDuplicates(["item_id", "ref"])
+    return edges.groupBy("ref").agg(F.count(F.lit(1)).alias("items"))
+
+
+@on_graph
+def b6_relates_to(g: Graph) -> DataFrame:
+    return g.relates_to().select("source", "target", "type", "item_id")
+
+
+@on_graph
+def b6_vertices(g: Graph) -> DataFrame:
+    return g.vertices()
+
+
+@on_graph
+def b7_taxonomy_edges(g: Graph) -> DataFrame:
+    return g.values.select("field", "concept", "value").distinct()
+
+
+@query
+def b8_mentions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Mentions by (item, order, concept); suppliers as criteria are no vertices, so theirs vanish."""
+    g = tables.graph(spark, sf_dir)
+    criteria = tables.lines(spark, sf_dir).select("item_id", F.concat(F.lit("S"), F.col("l_suppkey").cast("string")).alias("concept"), F.lit(0).alias("mention_order"))
+    rows = g.mentions.unionByName(criteria).join(g.vertices().withColumnRenamed("name", "concept"), "concept").dropDuplicates(["item_id", "mention_order", "concept"])
+    return rows.groupBy("concept", "mention_order").agg(F.count(F.lit(1)).alias("mentions"))
+
+
+@on_graph
+def b9_hierarchy(g: Graph) -> DataFrame:
+    return g.hierarchy.distinct()
+
+
+@query
+def b3_upsert_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of open orders replace whole rows, others stay."""
+    from loomgraph.sources.sinks import upserted
+
+    old = tables.graph(spark, sf_dir).sources.select("bibtex", "title", "year")
+    new = tables.read(spark, sf_dir, "orders").where("o_orderstatus = 'O'").select(F.col("o_orderkey").cast("string").alias("bibtex"), F.lit("open").alias("title"))
+    return upserted(old, new, ["bibtex"])
+
+
+@query
+def c4_description_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    part = tables.read(spark, sf_dir, "part")
+    same = F.when(F.exists(F.array("p_brand", "p_type"), lambda x: x == F.col("p_type")) & (F.col("p_size") % 2 == 0), None).otherwise(F.col("p_type"))
+    return part.select("p_partkey", same.alias("description"))
+
+
+@query
+def c11_item_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = tables.read(spark, sf_dir, "conversations")
+    block = rows.where("role = 'user'").groupBy("conv_id").agg(F.sort_array(F.collect_list("turn")).alias("turns"))
+    hops = block.select("conv_id", F.posexplode("turns").alias("pos", "turn"))
+    return hops.select(F.format_string("conv%d_n%04d", "conv_id", F.col("pos") + 1).alias("item_id"), "turn")
+
+
+@query
+def c12_relation_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tables.read(spark, sf_dir, "orders").select(text.relation_type(F.col("o_orderpriority")).alias("type")).groupBy("type").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query
+def c14_relative_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = tables.read(spark, sf_dir, "pages")
+    return pages.select("page_id", text.relative_path(F.col("url"), "https:/").alias("path"))
+
+
+# filters, joins ------------------------------------------------------------------------------------------------------
+
+
+@on_graph
+def d1_filtered_concepts(g: Graph) -> DataFrame:
+    return view.kept(g, view.Scope(min_frequency=30, min_source_count=30))
+
+
+@on_graph
+def d2_connected_concepts(g: Graph) -> DataFrame:
+    return view.kept(g, view.Scope(include_isolated=False))
+
+
+@on_graph
+def d3_kept_chains(g: Graph) -> DataFrame:
+    names = view.kept(g, view.Scope(min_frequency=32))
+    return view.kept_chains(g, names).select("item_id", "source", "target", "type")
+
+
+@on_graph
+def d4_without_loops(g: Graph) -> DataFrame:
+    return g.chains.where("source <> target").groupBy("type").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query
+def d6_valid_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    names = tables.read(spark, sf_dir, "events").select("event_type").unionByName(tables.read(spark, sf_dir, "part").select(F.col("p_brand").alias("event_type"))).distinct()
+    return names.select(F.col("event_type").alias("label"), text.valid_label(F.col("event_type")).alias("valid"))
+
+
+@query
+def d8_constant_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
+    part = tables.read(spark, sf_dir, "part").withColumn("same", F.lit(" one  value "))
+    return search.constant_fields(part, ["p_brand", "p_type", "same"])
+
+
+@on_graph
+def d11_label_search(g: Graph) -> DataFrame:
+    return view.find(g.concepts.select(F.col("search_name").alias("name")).distinct(), "RE")
+
+
+@on_graph
+def d10_visible_nodes(g: Graph) -> DataFrame:
+    s = view.Scope(min_frequency=30)
+    return view.visible(view.nodes(g, s), projection.neighbours(g.chains), 40, [0, 2]).select("name", "cid", "filtered")
+
+
+@on_graph
+def e2_located_mentions(g: Graph) -> DataFrame:
+    return metrics.located_mentions(g).groupBy("ref").agg(F.countDistinct("concept").alias("concepts"))
+
+
+@on_graph
+def e6_co_taxonomy(g: Graph) -> DataFrame:
+    return projection.co_taxonomy(g).groupBy("weight").agg(F.count(F.lit(1)).alias("pairs"))
+
+
+@on_graph
+def e7_co_citation(g: Graph) -> DataFrame:
+    return projection.co_citation(g)
+
+
+@query
+def e9_aliases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Parts that share a name stand for the one with the smallest key."""
+    g = tables.graph(spark, sf_dir)
+    named = tables.read(spark, sf_dir, "part").where("p_partkey <= 400")
+    low = named.groupBy("p_name").agg(F.min("p_partkey").alias("low"))
+    aliases = named.join(low, "p_name").where("p_partkey <> low").select(F.col("p_partkey").cast("string").alias("alias"), F.col("low").cast("string").alias("target"))
+    chains, _ = linkage.resolve_aliases(g.chains, g.mentions, aliases)
+    return chains.groupBy("source", "target").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query
+def e10_merged_origins(spark: SparkSession, sf_dir: str) -> DataFrame:
+    orders = tables.read(spark, sf_dir, "orders")
+    key = F.col("o_orderkey").cast("string").alias("bibref")
+    first = orders.where("o_orderkey % 3 <> 0").select(key, F.when(F.col("o_orderkey") % 2 == 0, F.col("o_orderpriority")).otherwise("").alias("title"))
+    second = orders.where("o_orderkey % 5 <> 0").select(key, F.col("o_orderstatus").alias("title"), F.col("o_custkey").cast("string").alias("author"))
+    return linkage.merge_origins(first, second, "bibref")
+
+
+@query
+def e11_tolerant_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    customer = tables.read(spark, sf_dir, "customer")
+    shape = F.when(F.col("c_custkey") % 3 == 0, F.col("c_name")).when(F.col("c_custkey") % 3 == 1, F.concat(F.lit("@"), F.upper("c_name"))).otherwise(F.concat(F.lit("@"), F.lower("c_name")))
+    refs = customer.select("c_custkey", shape.alias("ref"))
+    table = customer.select(F.lower("c_name").alias("key"), "c_mktsegment")
+    return linkage.tolerant_lookup(refs, "ref", table, "key", "c_mktsegment")
+
+
+def _linked(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    customer, orders = tables.read(spark, sf_dir, "customer"), tables.read(spark, sf_dir, "orders")
+    owners = customer.where("c_mktsegment = 'BUILDING'").select(F.lit("customer").alias("entity"), F.col("c_custkey").cast("string").alias("value"), F.lit("crm").alias("member"), F.col("c_name").alias("source"), F.col("c_custkey").alias("ord"))
+    referrers = orders.select(F.lit("customer").alias("entity"), F.col("o_custkey").cast("string").alias("value"), F.lit("shop").alias("member"), F.col("o_orderkey").cast("string").alias("source"))
+    return linkage.resolve(owners, referrers)
+
+
+@query
+def e12_identity_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _linked(spark, sf_dir)[1]
+
+
+@query
+def e13_orphans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _linked(spark, sf_dir)[2]
+
+
+@query
+def e14_index_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    labels = F.create_map(F.lit(0), F.lit("zero"), F.lit(2), F.lit("two"), F.lit(11), F.lit("eleven"))
+    return tables.read(spark, sf_dir, "part").select("p_partkey", text.index_label((F.col("p_size") % 13).cast("int"), labels).alias("label"))
+
+
+@query
+def e18_left_joins(spark: SparkSession, sf_dir: str) -> DataFrame:
+    customer, nation, region = (tables.read(spark, sf_dir, n) for n in ("customer", "nation", "region"))
+    some = region.where("r_regionkey <> 1")
+    return customer.join(nation, F.col("c_nationkey") == F.col("n_nationkey"), "left").join(some, F.col("n_regionkey") == F.col("r_regionkey"), "left").groupBy("r_name").agg(F.count(F.lit(1)).alias("customers"))
+
+
+@on_graph
+def e19_mapped_aspects(g: Graph) -> DataFrame:
+    return taxonomy.mapped(g, "aspect")
+
+
+@on_graph
+def e19_mapped_dimensions(g: Graph) -> DataFrame:
+    return taxonomy.mapped(g, "dimension")
+
+
+@query
+def e20_stale_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    part = tables.read(spark, sf_dir, "part").select(F.col("p_partkey").cast("string").alias("name"), "p_name", "p_partkey")
+    old = F.when(F.col("p_partkey") % 4 == 0, F.lit("changed")).otherwise(F.col("p_name"))
+    stored = part.where("p_partkey % 5 <> 0").select("name", text.text_hash(old).alias("hash"), F.when(F.col("p_partkey") % 7 != 0, F.array(F.lit(1.0))).alias("vector"))
+    return search.stale(part.select("name", F.col("p_name").alias("text")), stored)[0].select("name", "hash")
+
+
+# aggregates ----------------------------------------------------------------------------------------------------------
+
+
+@on_graph
+def f1_degrees(g: Graph) -> DataFrame:
+    return metrics.degrees(g)
+
+
+@on_graph
+def f2_mention_counts(g: Graph) -> DataFrame:
+    return metrics.mention_counts(g)
+
+
+@on_graph
+def f3_taxonomy_counts(g: Graph) -> DataFrame:
+    return metrics.taxonomy_counts(g)
+
+
+@on_graph
+def f4_topic_weights(g: Graph) -> DataFrame:
+    return metrics.topic_weights(g)
+
+
+@on_graph
+def f5_aspect_diversity(g: Graph) -> DataFrame:
+    return metrics.diversity(g, "aspect")
+
+
+@on_graph
+def f5_dimension_diversity(g: Graph) -> DataFrame:
+    return metrics.diversity(g, "dimension")
+
+
+@on_graph
+def f6_source_metrics(g: Graph) -> DataFrame:
+    return metrics.source_metrics(g)
+
+
+@on_graph
+def f9_linked_topics(g: Graph) -> DataFrame:
+    return taxonomy.linked_topics(g)
+
+
+@on_graph
+def f10_linked_topics_raw(g: Graph) -> DataFrame:
+    return taxonomy.linked_topics_raw(g)
+
+
+@on_graph
+def f11_coverage(g: Graph) -> DataFrame:
+    return view.coverage(g)
+
+
+@on_graph
+def f13_endpoint_degree(g: Graph) -> DataFrame:
+    return view.endpoint_degree(g.chains)
+
+
+@on_graph
+def f14_edges(g: Graph) -> DataFrame:
+    return view.edges(g)
+
+
+@on_graph
+def f15_legend(g: Graph) -> DataFrame:
+    return view.legend(view.groups(g, view.kept(g, view.Scope())))
+
+
+@on_graph
+def f16_hyperedges(g: Graph) -> DataFrame:
+    return view.hyperedges(g, view.kept(g, view.Scope()), 30)
+
+
+@on_graph
+def f18_neighbours(g: Graph) -> DataFrame:
+    return projection.neighbours(g.chains)
+
+
+@query
+def f19_grouped_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Relations of each pair, "many" for more than one."""
+    pairs = tables.chains(tables.lines(spark, sf_dir)).groupBy("source", "target").agg(F.sort_array(F.collect_set("type")).alias("types"))
+    return pairs.select("source", "target", F.when(F.size("types") > 1, "many").otherwise(F.col("types")[0]).alias("relation"), F.array_join("types", ", ").alias("types"))
+
+
+# implicit windows, order, sets ---------------------------------------------------------------------------------------
+
+
+@on_graph
+def g2_slugs(g: Graph) -> DataFrame:
+    return view.slugs(g.concepts.select(F.concat_ws(" ", "search_name", F.substring("name", -1, 1)).alias("name")).unionByName(g.concepts.select(F.concat_ws("-", "search_name", F.substring("name", -1, 1)).alias("name"))))
+
+
+@on_graph
+def g3_first_sources(g: Graph) -> DataFrame:
+    return view.first_sources(g)
+
+
+@on_graph
+def g4_evidence(g: Graph) -> DataFrame:
+    return view.evidence(g, 10).select("concept", "item_id", "place", "source", "type", "text")
+
+
+@on_graph
+def h1_top_nodes(g: Graph) -> DataFrame:
+    return view.kept(g, view.Scope(max_nodes=50))
+
+
+@on_graph
+def h4_hierarchy_sorted(g: Graph) -> DataFrame:
+    return taxonomy.hierarchy(g)
+
+
+@query
+def h8_page(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tables.read(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice").orderBy(F.desc("o_totalprice"), "o_orderkey").offset(100).limit(50)
+
+
+@query
+def i2_union_concepts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    customer, supplier = tables.read(spark, sf_dir, "customer"), tables.read(spark, sf_dir, "supplier")
+    a = customer.select(F.regexp_replace("c_name", "[A-Za-z#]", "").alias("name"), F.lit("customer").alias("kind"))
+    b = supplier.select(F.regexp_replace("s_name", "[A-Za-z#]", "").alias("name"), F.lit("supplier").alias("kind"))
+    return linkage.union_concepts([b, a])
+
+
+@query
+def i9_evidence_union(spark: SparkSession, sf_dir: str) -> DataFrame:
+    e = view.evidence(tables.graph(spark, sf_dir), 10)
+    return e.where(F.col("concept").isin("1", "2")).select("source", "type", "text").dropDuplicates()
+
+
+@on_graph
+def i7_unmentioned(g: Graph) -> DataFrame:
+    ends = g.chains.select(F.explode(F.array("source", "target")).alias("name")).distinct()
+    return g.concepts.select("name").exceptAll(ends)
+
+
+@query
+def c10_qualified(spark: SparkSession, sf_dir: str) -> DataFrame:
+    orders = tables.read(spark, sf_dir, "orders").select(F.col("o_orderkey").cast("string").alias("ref"), F.when(F.col("o_orderkey") % 2 == 0, F.concat(F.lit("@"), F.col("o_orderkey").cast("string"))).otherwise(F.col("o_orderkey").cast("string")).alias("bibtex"))
+    return linkage.qualified(orders, "bibtex", "left", at=True)
+
+
+# scalar functions ----------------------------------------------------------------------------------------------------
+
+
+@query
+def j_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    part = tables.read(spark, sf_dir, "part")
+    name = F.concat_ws("_", "p_name", "p_brand")
+    return part.select(
+        "p_partkey", text.humanized(name).alias("human"), text.label(name).alias("label"), text.database_name(name).alias("database"), text.entity_label(name).alias("entity"),
+        text.capitalized(F.upper("p_name")).alias("capital"), text.slug(name).alias("slug"), text.shortened(F.repeat(F.col("p_name"), 8)).alias("short"), text.text_hash(name).alias("hash"),
+    )
+
+
+@query
+def j1_identity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    names = tables.read(spark, sf_dir, "part").select(F.concat(F.lit("  "), F.upper("p_name"), F.lit("  x ")).alias("name")).distinct()
+    return names.select("name", text.identity(F.col("name")).alias("identity"))
+
+
+@query
+def j_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    c = tables.read(spark, sf_dir, "conversations").where("turn is not null")
+    item = F.when(F.col("turn") % 3 == 0, F.format_string("b%d_n%04d", "conv_id", "turn")).otherwise(F.format_string("b%d_x%04d", "conv_id", "turn"))
+    note = F.concat(F.lit('anchor=" a'), F.col("turn").cast("string"), F.lit(' " analysis="'), F.col("role"), F.lit('"'))
+    return c.select("conv_id", "turn", text.block_of(item).alias("block"), text.note_field(note, "anchor").alias("anchor"), text.note_field(note, "analysis").alias("analysis"))
+
+
+@query
+def j16_concept_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    part = tables.read(spark, sf_dir, "part")
+    parts = [text.humanized(F.col("p_name")), F.concat(F.col("p_type"), F.lit("...")), F.when(F.col("p_size") > 25, F.lit("  large   part. ")).otherwise("")]
+    return part.select("p_partkey", text.concept_text(parts).alias("text"))
+
+
+@on_graph
+def j14_edge_widths(g: Graph) -> DataFrame:
+    return view.edges(g).groupBy("width").agg(F.count(F.lit(1)).alias("n"))
+
+
+# graph algorithms ----------------------------------------------------------------------------------------------------
+
+
+@on_graph
+def k1_projection(g: Graph) -> DataFrame:
+    return projection.projected(g)
+
+
+@on_graph
+def k2_pagerank(g: Graph) -> DataFrame:
+    ranks = algorithms.pagerank(projection.relates_to(g), g.vertices(), rounds=5)
+    return ranks.select("name", F.round("pagerank", 6).alias("pagerank"))
+
+
+@on_graph
+def k2_pagerank_20(g: Graph) -> DataFrame:
+    return algorithms.pagerank(projection.relates_to(g), g.vertices())
+
+
+@on_graph
+def k3_betweenness(g: Graph) -> DataFrame:
+    return algorithms.betweenness(projection.relates_to(g))
+
+
+@on_graph
+def k4_louvain(g: Graph) -> DataFrame:
+    return algorithms.louvain(projection.relates_to(g))
+
+
+@on_graph
+def k8_closure(g: Graph) -> DataFrame:
+    return taxonomy.closure(g.hierarchy)
+
+
+@query
+def k8_subtree_evidence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    g = tables.graph(spark, sf_dir)
+    supplier = tables.read(spark, sf_dir, "supplier").select("s_suppkey", F.col("s_name").alias("concept"))
+    located = tables.lines(spark, sf_dir).select("item_id", F.col("l_suppkey").alias("s_suppkey")).join(supplier, "s_suppkey")
+    return taxonomy.subtree_evidence(g.hierarchy, located)
+
+
+@on_graph
+def k9_within_two(g: Graph) -> DataFrame:
+    return projection.within_two(g.chains, PART).groupBy("related", "hops").agg(F.count(F.lit(1)).alias("paths"))
+
+
+# the analyst's questions ---------------------------------------------------------------------------------------------
+
+
+def _metric_table(g: Graph) -> DataFrame:
+    """Five rounds of PageRank and the topic as community: values that SQL can follow."""
+    ranks = algorithms.pagerank(projection.relates_to(g), g.vertices(), rounds=5)
+    topic = g.of_field(g.topic_field).select(F.col("concept").alias("name"), F.col("value").alias("community"))
+    return metrics.mention_counts(g).join(metrics.degrees(g), "name").join(ranks, "name").join(topic, "name", "left")
+
+
+@on_graph
+def l1_label_counts(g: Graph) -> DataFrame:
+    return catalogue.label_counts(g)
+
+
+@on_graph
+def l2_schema(g: Graph) -> DataFrame:
+    return catalogue.schema(g)
+
+
+@on_graph
+def l3_top_pagerank(g: Graph) -> DataFrame:
+    return catalogue.top_pagerank(_metric_table(g))
+
+
+@on_graph
+def l4_bridges(g: Graph) -> DataFrame:
+    scores = algorithms.betweenness(projection.relates_to(g), sample=64)
+    return catalogue.bridges(_metric_table(g).join(scores, "name"))
+
+
+@on_graph
+def l5_communities(g: Graph) -> DataFrame:
+    topic = g.of_field(g.topic_field).select(F.col("concept").alias("name"), F.col("value").alias("community"))
+    return catalogue.communities(topic)
+
+
+@on_graph
+def l6_citations(g: Graph) -> DataFrame:
+    return catalogue.citations(g, PART)
+
+
+@on_graph
+def l7_sources_of(g: Graph) -> DataFrame:
+    return catalogue.sources_of(g, PART)
+
+
+@on_graph
+def l8_trace(g: Graph) -> DataFrame:
+    return catalogue.trace(g, PART)
+
+
+@on_graph
+def l9_direct(g: Graph) -> DataFrame:
+    return catalogue.direct(g, PART)
+
+
+@on_graph
+def l10_by_taxonomy(g: Graph) -> DataFrame:
+    return catalogue.by_taxonomy(g, PART)
+
+
+@on_graph
+def l11_two_hops(g: Graph) -> DataFrame:
+    return projection.within_two(g.chains, PART).orderBy("hops", "via", "related").limit(50)
+
+
+@on_graph
+def l12_topics(g: Graph) -> DataFrame:
+    return catalogue.topics(g)
+
+
+@on_graph
+def l13_topic_members(g: Graph) -> DataFrame:
+    return catalogue.topic_members(g)
+
+
+@on_graph
+def l14_topic_by_aspect(g: Graph) -> DataFrame:
+    return catalogue.topic_by_aspect(g)
+
+
+@on_graph
+def l15_richest(g: Graph) -> DataFrame:
+    return catalogue.richest(g)
+
+
+@on_graph
+def l16_concepts_of(g: Graph) -> DataFrame:
+    return catalogue.concepts_of(g, ORDER)
+
+
+@on_graph
+def l17_covering(g: Graph) -> DataFrame:
+    return catalogue.covering(g, BRAND)
+
+
+@on_graph
+def l18_compare_communities(g: Graph) -> DataFrame:
+    return catalogue.compare_communities(_metric_table(g))
+
+
+@on_graph
+def l19_widespread(g: Graph) -> DataFrame:
+    return catalogue.widespread(metrics.mention_counts(g))
+
+
+@on_graph
+def l20_exclusive(g: Graph) -> DataFrame:
+    """Over one in fifty orders, so that some concepts have a single source."""
+    few = g.from_source.where(F.col("ref").cast("long") % 50 == 0)
+    part = Graph(**{**g.__dict__, "from_source": few, "mentions": g.mentions.join(few.select("item_id"), "item_id", "left_semi")})
+    return catalogue.exclusive(part, metrics.mention_counts(part))
+
+
+@on_graph
+def l21_isolated(g: Graph) -> DataFrame:
+    return catalogue.isolated(metrics.degrees(g), metrics.mention_counts(g), below=30)
+
+
+@on_graph
+def l22_triangulated(g: Graph) -> DataFrame:
+    return catalogue.triangulated(g)
+
+
+@on_graph
+def l23_saturation(g: Graph) -> DataFrame:
+    return catalogue.saturation(g)
+
+
+@on_graph
+def l23_first_appearance(g: Graph) -> DataFrame:
+    return catalogue.first_appearance(g)
+
+
+@on_graph
+def l24_central_of_community(g: Graph) -> DataFrame:
+    return catalogue.top_pagerank(_metric_table(g).where(F.col("community") == BRAND))
+
+
+@on_graph
+def l26_paths(g: Graph) -> DataFrame:
+    return catalogue.paths(g).groupBy("source").agg(F.count(F.lit(1)).alias("paths"))
+
+
+# search --------------------------------------------------------------------------------------------------------------
+
+
+@query
+def m1_inverted_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    index = search.inverted_index(tables.read(spark, sf_dir, "documents"), "doc_id", ["text"])
+    return index.groupBy("term").agg(F.sum("tf").alias("tf"), F.count(F.lit(1)).alias("df"))
+
+
+@query
+def m3_bm25(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return search.bm25(tables.read(spark, sf_dir, "documents"), "doc_id", ["text"], ["license", "token", "mit"], k=20)
+
+
+@query
+def m6_vector_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    e = tables.read(spark, sf_dir, "embeddings")
+    wanted = e.where("vec_id = 7").first().embedding
+    return search.neighbours(e, wanted, 10)
+
+
+@query
+def m10_width_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    e = tables.read(spark, sf_dir, "embeddings").withColumn("embedding", F.when(F.col("vec_id") % 50 == 0, F.slice("embedding", 1, 10)).when(F.col("vec_id") % 50 == 1, F.lit(None)).otherwise(F.col("embedding")))
+    return search.width_errors(e, 64).select("vec_id")
+
+
+# extensions: event time ----------------------------------------------------------------------------------------------
+
+
+@query
+def n_tumbling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return windows.tumbling(tables.read(spark, sf_dir, "events"), "1 hour")
+
+
+@query
+def n_sliding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return windows.sliding(tables.read(spark, sf_dir, "events"), "6 hours", "3 hours")
+
+
+@query
+def n_sessions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return windows.sessions(tables.read(spark, sf_dir, "events"), "30 minutes")
+
+
+@query
+def n_event_props(spark: SparkSession, sf_dir: str) -> DataFrame:
+    e = tables.read(spark, sf_dir, "events").select("event_type", F.from_json("props", T.StructType([T.StructField("k", T.LongType())])).alias("p"))
+    return e.groupBy("event_type").agg(F.sum("p.k").alias("k"), F.count("p.k").alias("n"))
 
 
-def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"f2_concept_counts": flagship}
+def queries() -> dict[str, Query]:
+    return dict(QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return dict(SQL)
