@@ -160,11 +160,78 @@ def _flags(edges: DataFrame) -> DataFrame:
     return both.groupBy("source", "target").agg(F.sum("weight").alias("weight"))
 
 
-def louvain(edges: DataFrame, passes: int = 3, rounds: int = 8, seed: int = 1) -> DataFrame:
+def _local_louvain(start: np.ndarray, target: np.ndarray, weight: np.ndarray, passes: int = 10) -> np.ndarray:
+    """Communities by moving vertices in order to the neighbouring community with the largest gain, level by level."""
+    n = len(start) - 1
+    member = np.arange(n)
+    total = weight.sum()
+    for _ in range(passes):
+        m = len(start) - 1
+        owner = np.repeat(np.arange(m), np.diff(start))
+        degree = np.bincount(owner, weight, m)
+        at, size = np.arange(m), degree.copy()
+        moved_ever = False
+        for _ in range(20):
+            moved = 0
+            for v in range(m):
+                head, w = target[start[v] : start[v + 1]], weight[start[v] : start[v + 1]]
+                other = head != v
+                near, place = np.unique(at[head[other]], return_inverse=True)
+                if not len(near):
+                    continue
+                links = np.bincount(place, w[other], len(near))
+                size[at[v]] -= degree[v]
+                gain = links - degree[v] * size[near] / total
+                i = np.searchsorted(near, at[v])
+                stay = gain[i] if i < len(near) and near[i] == at[v] else -degree[v] * size[at[v]] / total
+                best = int(np.argmax(gain))
+                to = near[best] if gain[best] > stay + 1e-12 else at[v]
+                moved += to != at[v]
+                at[v] = to
+                size[to] += degree[v]
+            moved_ever |= moved > 0
+            if moved * 1000 <= m:
+                break
+        if not moved_ever:
+            break
+        kinds, at = np.unique(at, return_inverse=True)
+        member = at[member]
+        pair, place = np.unique(at[owner] * len(kinds) + at[target], return_inverse=True)
+        weight = np.bincount(place, weight)
+        owner, target = np.divmod(pair, len(kinds))
+        start = np.searchsorted(owner, np.arange(len(kinds) + 1))
+    return member
+
+
+def _in_one_task(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    held = [b for b in batches if len(b)]
+    if not held:
+        return
+    edges = pd.concat(held).sort_values(["source", "target"])
+    names, ends = np.unique(np.concatenate([edges["source"], edges["target"]]).astype(str), return_inverse=True)
+    u, v = ends[: len(edges)], ends[len(edges) :]
+    member = _local_louvain(np.searchsorted(u, np.arange(len(names) + 1)), v, edges["weight"].to_numpy())
+    first = np.full(member.max() + 1, len(names))
+    np.minimum.at(first, member, np.arange(len(names)))
+    yield pd.DataFrame({"name": names, "community": names[first[member]]})
+
+
+def louvain(edges: DataFrame, local_edges: int = LOCAL_EDGES) -> DataFrame:
+    """name, community: communities of locally largest modularity, named by their smallest member.
+
+    Up to ``local_edges`` edges one task holds the graph; larger graphs are moved in rounds of joins.
+    """
+    level = shared(_flags(edges))
+    if level.count() <= local_edges:
+        return level.repartition(1).mapInPandas(_in_one_task, "name string, community string")
+    return louvain_rounds(edges)
+
+
+def louvain_rounds(edges: DataFrame, passes: int = 3, rounds: int = 6, seed: int = 1) -> DataFrame:
     """name, community: communities of locally largest modularity, named by their smallest member.
 
     In each round about half the vertices, drawn by hash, may move to the neighbouring community with the largest gain, so
-    two neighbours seldom swap; then communities become vertices and the next pass begins.  Every step is an aggregate over
+    two neighbours seldom swap; a pass ends when no more than one in a hundred moves; then communities become vertices and the next pass begins.  Every step is an aggregate over
     edges: a hub's edges are summed by (vertex, community) before they meet.
     """
     level = shared(_flags(edges))
@@ -186,10 +253,10 @@ def louvain(edges: DataFrame, passes: int = 3, rounds: int = 8, seed: int = 1) -
             gain = F.round(F.col("w") - F.col("k") * inside / F.lit(total), 9)
             best = choice.groupBy("v").agg(F.max_by("to", F.struct(gain.alias("gain"), (F.col("to") == F.col("c")).alias("stay"), F.col("to").alias("to"))).alias("to"))
             after = shared(member.join(best, "v", "left").select("v", "k", F.coalesce("to", "c").alias("c"), (F.coalesce("to", "c") != F.col("c")).alias("moved")))
-            moved = after.where("moved").count()
+            moved, n = after.agg(F.sum(F.col("moved").cast("int")), F.count(F.lit(1))).first()
             member = after.drop("moved")
             moved_ever = moved_ever or bool(moved)
-            if not moved and r:
+            if r and moved * 100 <= n:
                 break
         if not moved_ever:
             break
