@@ -40,12 +40,15 @@ from loomgraph.llm.common import bounded_batches, octets, shared_path, shuffle_w
 
 LENGTH = 50
 GRAM = 16
-#: Bytes of text in a chunk, and in a piece of a longer text; a worker holds about sixty times as much.
+#: Bytes of text in a chunk, and of those hashed at once, which take about sixty times as much memory.
 CHUNK = 2 << 20
+PIECE = 1 << 19
+#: Chunks in an Arrow batch.
+ROWS = 16
 #: Bytes of text for each task that a shard's segments come from.
-SHARD_BYTES = 16 << 20
+SHARD_BYTES = 6 << 20
 #: Windows that are sorted at once, whole minimizers at a time.
-SORTED = 1_000_000
+SORTED = 250_000
 
 U = np.uint64
 _BASE = 0x9E3779B97F4A7C15
@@ -136,12 +139,12 @@ def _pieces(data: np.ndarray, starts: np.ndarray) -> Iterator[tuple[int, np.ndar
     i = 0
     while i < len(starts) - 1:
         j = i + 1
-        if starts[j] - starts[i] > CHUNK:
-            for s in range(int(starts[i]), int(starts[j]) - LENGTH + 1, CHUNK):
-                e = min(int(starts[j]), s + CHUNK + LENGTH - 1)
+        if starts[j] - starts[i] > PIECE:
+            for s in range(int(starts[i]), int(starts[j]) - LENGTH + 1, PIECE):
+                e = min(int(starts[j]), s + PIECE + LENGTH - 1)
                 yield s, data[s:e], np.array([0, e - s]), i
         else:
-            while j < len(starts) - 1 and starts[j + 1] - starts[i] <= CHUNK:
+            while j < len(starts) - 1 and starts[j + 1] - starts[i] <= PIECE:
                 j += 1
             yield int(starts[i]), data[starts[i] : starts[j]], starts[i : j + 1] - starts[i], i
         i = j
@@ -205,7 +208,7 @@ def packed(docs: DataFrame) -> tuple[DataFrame, int]:
     chunks = narrow.mapInArrow(_packing, "chunk bigint, ids array<bigint>, sizes array<bigint>, data binary")
     name = f"loomgraph_chunks_{uuid.uuid4().hex}"
     buckets = max(shuffle_width(spark), 1)
-    chunks.write.format("parquet").option("compression", "none").option("path", shared_path(spark, "chunks")).bucketBy(buckets, "chunk").saveAsTable(name)
+    chunks.write.format("parquet").option("compression", "none").option("parquet.block.size", 8 << 20).option("path", shared_path(spark, "chunks")).bucketBy(buckets, "chunk").saveAsTable(name)
     out = spark.table(name)
     total = out.select(F.explode("sizes").alias("n")).agg(F.sum("n")).first()[0]
     return out, int(total or 0)
@@ -334,17 +337,38 @@ def earlier_windows(data: np.ndarray, start: np.ndarray, size: np.ndarray, doc:
     match reaches LENGTH, is the head of the run of equal ones, and its document is smaller or the same.
     """
     n = size - LENGTH + 1
-    owner = np.repeat(np.arange(len(n)), n)
-    at = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + np.repeat(start, n)
-    view = np.lib.stride_tricks.as_strided(data, (max(0, len(data) - LENGTH + 1), LENGTH), (1, 1))
-    suffixes = np.ascontiguousarray(view[at]).view(f"S{LENGTH}").ravel()
-    by_doc = np.argsort(doc[owner], kind="stable")
-    suffix_array = by_doc[np.argsort(suffixes[by_doc], kind="stable")]
-    ordered = suffixes[suffix_array]
-    head = np.append(True, ordered[1:] != ordered[:-1])[: len(ordered)]
-    smaller = doc[owner[suffix_array]][np.flatnonzero(head)][np.cumsum(head) - 1] if len(head) else np.zeros(0, np.int64)
+    owner = np.repeat(np.arange(len(n), dtype=np.int32), n)
+    at = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n - start, n)
     out = np.zeros(len(owner), bool)
-    out[suffix_array] = smaller < doc[owner[suffix_array]]
+    parts = -(-len(owner) // SORTED)
+    if parts < 2:
+        out[:] = _later(data, at, doc[owner])
+        return out
+    # too many for one array: equal windows agree in three of their words, so shares by these words can be sorted alone
+    words = np.lib.stride_tricks.as_strided(data, (len(data) - 7, 8), (1, 1))
+    share = np.zeros(len(owner), np.uint64)
+    for k in (0, 21, LENGTH - 8):
+        share = _mixed(share ^ np.ascontiguousarray(words[at + k]).view(np.uint64).ravel())
+    share = (share % U(parts)).astype(np.int32)
+    for k in range(parts):
+        mine = np.flatnonzero(share == k)
+        out[mine] = _later(data, at[mine], doc[owner[mine]])
+    return out
+
+
+def _later(data: np.ndarray, at: np.ndarray, doc: np.ndarray) -> np.ndarray:
+    """For the windows at the given places, whether a smaller document has the same one."""
+    view = np.lib.stride_tricks.as_strided(data, (max(0, len(data) - LENGTH + 1), LENGTH), (1, 1))
+    by_doc = np.argsort(doc, kind="stable")
+    suffixes = np.ascontiguousarray(view[at[by_doc]]).view(f"S{LENGTH}").ravel()
+    order = np.argsort(suffixes, kind="stable")
+    suffixes = suffixes[order]
+    head = np.append(True, suffixes[1:] != suffixes[:-1])[: len(suffixes)]
+    suffix_array = by_doc[order]
+    own = doc[suffix_array]
+    out = np.zeros(len(at), bool)
+    if len(at):
+        out[suffix_array] = own[np.flatnonzero(head)][np.cumsum(head) - 1] < own
     return out
 
 
@@ -356,10 +380,15 @@ def _runs(flags: np.ndarray, owner: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     return first, last
 
 
-def covered(names: np.ndarray, doc: np.ndarray, start: np.ndarray, size: np.ndarray, data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def contents(data: np.ndarray, at: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """Hashes of segments, as segments() gives them."""
+    if not len(at):
+        return np.zeros(0, np.uint64)
+    return hash_of(sums(data), at, size) * U(0x9FB21C651E98DF25) + size.astype(np.uint64)
+
+
+def covered(names: np.ndarray, content: np.ndarray, doc: np.ndarray, start: np.ndarray, size: np.ndarray, data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Of a shard's segments: the row, begin and length of the stretches to remove.  at: where a segment's bytes are."""
-    total = sums(data)
-    content = hash_of(total, at, size) * U(0x9FB21C651E98DF25) + size.astype(np.uint64) if len(at) else np.zeros(0, np.uint64)
     order = np.lexsort((doc, content, names))
     name, text, own = names[order], content[order], doc[order]
     fresh = np.append(True, (name[1:] != name[:-1]) | (text[1:] != text[:-1]))[: len(name)]
@@ -416,7 +445,7 @@ _COVERS = [("chunk", pa.int64()), ("data", pa.binary())]
 def _removals(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """A shard's stretches to remove, by chunk; what a chunk has settled itself passes through."""
     unpack = zstandard.ZstdDecompressor()
-    names, doc, start, size, data, chunk = [], [], [], [], [], []
+    names, content, doc, start, size, data, chunk = [], [], [], [], [], [], []
     for b in batches:
         passed = []
         for bucket, c, raw in zip(b.column("bucket").to_pylist(), b.column("chunk").to_pylist(), b.column("data").to_pylist(), strict=True):
@@ -429,13 +458,15 @@ def _removals(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             start.append(np.frombuffer(body, np.uint32, n, 12 * n).astype(np.int64))
             size.append(np.frombuffer(body, np.uint8, n, 16 * n).astype(np.int64))
             data.append(np.frombuffer(body, np.uint8, -1, 17 * n))
+            content.append(contents(data[-1], np.cumsum(size[-1]) - size[-1], size[-1]))
             chunk.append(np.full(n, c))
         if passed:
             yield _rows(passed, _COVERS)
     if not names:
         return
-    size, chunk, start = np.concatenate(size), np.concatenate(chunk), np.concatenate(start)
-    rows, begin, length = covered(np.concatenate(names), np.concatenate(doc), start, size, np.concatenate(data), np.cumsum(size) - size)
+    size, chunk, start, data = np.concatenate(size), np.concatenate(chunk), np.concatenate(start), np.concatenate(data)
+    names, content, doc = np.concatenate(names), np.concatenate(content), np.concatenate(doc)
+    rows, begin, length = covered(names, content, doc, start, size, data, np.cumsum(size) - size)
     order = np.argsort(chunk[rows], kind="stable")
     own, begin, length = chunk[rows][order], begin[order], length[order]
     cut = np.flatnonzero(np.append(True, own[1:] != own[:-1])) if len(own) else np.zeros(0, np.int64)
@@ -454,7 +485,7 @@ def _applied(kept_text: bool):
                     s, n = _uncover(raw)
                     np.add.at(edge, s, 1)
                     np.add.at(edge, s + n, -1)
-                gone = np.cumsum(edge)[:-1] > 0
+                gone = np.cumsum(edge, dtype=np.int32)[:-1] > 0
                 rows = []
                 for k, doc_id in enumerate(held.ids):
                     s, e = int(held.starts[k]), int(held.starts[k + 1])
@@ -474,7 +505,7 @@ def deduplicated(docs: DataFrame, kept_text: bool = False) -> DataFrame:
     chunks, total = packed(docs)
     tasks = max(shuffle_width(spark), math.ceil(total / SHARD_BYTES))
     bits = max(8, math.ceil(math.log2(4 * tasks)))
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "64")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ROWS))
     minimizers = chunks.mapInArrow(_minimizers(bits), _SHIPPED_DDL)
     told = minimizers.repartition(tasks, "bucket").mapInArrow(_shared_bits, _SHIPPED_DDL)
     told = told.groupBy("chunk").agg(F.collect_list(F.struct("bucket", "data")).alias("bits"))

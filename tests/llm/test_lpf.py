@@ -56,6 +56,7 @@ def corpus(seed, n=120):
 @pytest.mark.parametrize("chunk,sorted_", [(2 << 20, 1_000_000), (700, 50)])
 def test_against_every_window(spark, monkeypatch, chunk, sorted_):
     monkeypatch.setattr(lpf, "CHUNK", chunk)
+    monkeypatch.setattr(lpf, "PIECE", chunk // 2)
     monkeypatch.setattr(lpf, "SORTED", sorted_)
     docs = corpus(chunk)
     got = lpf.deduplicated(spark.createDataFrame([(*d, 1) for d in docs], "doc_id long, text string, chunk int").repartition(5)).collect()
@@ -72,10 +73,11 @@ def test_shard_against_every_window(monkeypatch):
         raw = b"".join((t or "").encode() for _, t in docs)
         starts = np.append(0, np.cumsum([len((t or "").encode()) for _, t in docs]))
         data = np.frombuffer(raw, np.uint8)
-        h, first, size, _, text = lpf.segments(data, starts)
+        h, first, size, content, text = lpf.segments(data, starts)
         doc = np.array([d for d, _ in docs])[text]
         body = lpf._gathered(data, first, size)
-        rows, begin, length = lpf.covered(h, doc, first, size, body, np.cumsum(size) - size)
+        assert (lpf.contents(body, np.cumsum(size) - size, size) == content).all()
+        rows, begin, length = lpf.covered(h, content, doc, first, size, body, np.cumsum(size) - size)
         gone = np.zeros(len(raw), bool)
         for s, n in zip(begin, length):
             gone[s : s + n] = True
