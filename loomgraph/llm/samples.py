@@ -21,10 +21,15 @@ def is_held_out(doc_id: Column) -> Column:
 def sampled(docs: DataFrame, labelled: DataFrame, per_label: int) -> DataFrame:
     """Texts and labels of at most ``per_label`` documents of each label, in hash order.
 
-    labelled: doc_id, label.  Only ids are ranked, and each task hands on its first ``per_label`` of a label at most.
+    labelled: doc_id, label.  Only ids are ranked, and of those only the ones whose hash is so low that about twice as many
+    as wanted remain of each label, however many there are.  The counts are a row a label, which any classifier must hold.
     """
-    order = W.partitionBy("label").orderBy(F.xxhash64(F.col("doc_id"), F.lit(5)), "doc_id")
-    ids = labelled.select("doc_id", "label").withColumn("place", F.row_number().over(order)).where(F.col("place") <= per_label).select("doc_id", "label")
+    span = 1 << 31
+    hashed = labelled.select("doc_id", "label", F.pmod(F.xxhash64("doc_id", F.lit(5)), F.lit(span)).alias("draw"))
+    counts = labelled.groupBy("label").agg(F.count(F.lit(1)).alias("n"))
+    low = hashed.join(F.broadcast(counts), "label").where(F.col("draw") * F.col("n") < 2.0 * per_label * span)
+    order = W.partitionBy("label").orderBy("draw", "doc_id")
+    ids = low.withColumn("place", F.row_number().over(order)).where(F.col("place") <= per_label).select("doc_id", "label")
     texts = docs.select("doc_id", F.col("text").cast("string").alias("text")).where("text is not null")
     chosen = texts.join(F.broadcast(ids), "doc_id")
     once = chosen.withColumn("copy", F.row_number().over(W.partitionBy("doc_id").orderBy(F.xxhash64("text")))).where("copy = 1").drop("copy")
