@@ -190,7 +190,7 @@ def _local_louvain(start: np.ndarray, target: np.ndarray, weight: np.ndarray, pa
                 at[v] = to
                 size[to] += degree[v]
             moved_ever |= moved > 0
-            if moved * 1000 <= m:
+            if moved * 100 <= m:
                 break
         if not moved_ever:
             break
