@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 
 
 def watermarked(events: DataFrame, late: str) -> DataFrame:
-    """Streams forget state that is later than this; static tables are as they are."""
-    return events.withWatermark("ts", late) if events.isStreaming else events
+    """Streams forget state that is later than this; a watermark needs a time with a zone.  Static tables are as they are."""
+    return events.withColumn("ts", F.col("ts").cast("timestamp")).withWatermark("ts", late) if events.isStreaming else events
 
 
 def _summed(events: DataFrame, *keys) -> DataFrame:
