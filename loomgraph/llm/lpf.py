@@ -231,8 +231,14 @@ _SHIPPED_DDL = "bucket bigint, chunk bigint, data binary"
 def _by_bucket(names: np.ndarray) -> Iterator[tuple[int, int, int]]:
     """Bucket, begin and end of its stretch of sorted names."""
     bucket = (names >> U(32)).astype(np.int64)
-    first = np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1])) if len(bucket) else np.zeros(0, np.int64)
-    yield from zip(bucket[first].tolist(), first.tolist(), np.append(first[1:], len(bucket)).tolist(), strict=True)
+    first, last = _stretches(bucket)
+    yield from zip(bucket[first].tolist(), first.tolist(), last.tolist(), strict=True)
+
+
+def _stretches(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Begin and end of the stretches of equal values; none of no values."""
+    first = np.flatnonzero(np.append(True, values[1:] != values[:-1])[: len(values)])
+    return first, np.append(first, len(values))[1:]
 
 
 def _minimizers(bits: int):
@@ -469,8 +475,7 @@ def _removals(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     rows, begin, length = covered(names, content, doc, start, size, data, np.cumsum(size) - size)
     order = np.argsort(chunk[rows], kind="stable")
     own, begin, length = chunk[rows][order], begin[order], length[order]
-    cut = np.flatnonzero(np.append(True, own[1:] != own[:-1])) if len(own) else np.zeros(0, np.int64)
-    out = [(int(own[s]), _cover(begin[s:e], length[s:e])) for s, e in zip(cut.tolist(), np.append(cut[1:], len(own)).tolist(), strict=True)]
+    out = [(int(own[s]), _cover(begin[s:e], length[s:e])) for s, e in zip(*(x.tolist() for x in _stretches(own)), strict=True)]
     for i in range(0, len(out), 256):
         yield _rows(out[i : i + 256], _COVERS)
 

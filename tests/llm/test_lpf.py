@@ -93,3 +93,13 @@ def test_empty_and_kept_bytes(spark):
     out = {r.doc_id: bytes(r.kept) for r in lpf.deduplicated(docs, kept_text=True).collect()}
     assert out[1].startswith(b"shared") and out[2] == b"x" * 30 + b"end"
     assert lpf.deduplicated(docs.limit(0)).count() == 0
+
+
+def test_chunks_and_shards_without_anything_to_remove(spark):
+    """Short texts only, and repeats that only one document has."""
+    short = spark.createDataFrame([(1, "short"), (2, "short"), (3, "")], "doc_id long, text string").coalesce(1)
+    assert sorted((r.doc_id, r.n_bytes, r.n_removed) for r in lpf.deduplicated(short).collect()) == [(1, 5, 0), (2, 5, 0), (3, 0, 0)]
+    alone = spark.createDataFrame([(7, "z" * 300), (8, "y" * 200)], "doc_id long, text string").coalesce(1)
+    assert [r.n_removed for r in lpf.deduplicated(alone).collect()] == [0, 0]
+    equal = spark.createDataFrame([(9, "z" * 300), (9, "z" * 300)], "doc_id long, text string").repartition(2)
+    assert [r.n_removed for r in lpf.deduplicated(equal).collect()] == [0, 0]
