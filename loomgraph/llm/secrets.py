@@ -3,7 +3,8 @@
 Three kinds of spans come from fixed patterns (assign, access, hex).  The kind ``novel`` comes from novelty: a long run of
 key characters near a sensitive word is compressed behind its surrounding code, with a dictionary of identifiers loaded
 into the compressor; the bytes that it adds, a byte of its own each if nothing is known of it, are its novelty.  Runs that
-add at least ``NOVELTY`` of their length are reported unless a pattern has them already.
+add at least ``NOVELTY`` of their length are reported unless a pattern has them already.  A run of NAME=value is judged by
+its values, a name with a value behind it (token_value) by what follows the sensitive word; either may hold the word itself.
 
 Texts are read where they lie; nothing is shuffled.  Cheap byte searches decide which patterns a text needs.
 
@@ -36,7 +37,12 @@ ASSIGN_WORDS = (b"password", b"passwd", b"secret", b"token", b"apikey", b"api_ke
 SENSITIVE = ("secret", "token", "passw", "passphrase", "credential", "private", "apikey", "api_key", "api-key", "access_key", "access-key", "auth", "bearer", "signature", "session", "cookie", "webhook", "client_id", "connectionstring")
 SENSITIVE_WORD = re.compile("|".join(map(re.escape, SENSITIVE)), re.A | re.I)
 REACH = 64
+LEAST_RUN = 16
 RUN = re.compile(r"[A-Za-z0-9+/_~=-]{16,}")
+#: What inner equals signs leave of a run; those at its end are padding.
+PIECE = re.compile(r"[A-Za-z0-9+/_~-]+(?:=+(?![A-Za-z0-9+/_~=-]))?")
+#: Between a sensitive word and a value within a run, and words of a name that may follow there.
+JOINT, NAME_WORDS = re.compile(r"[+/_~-]*"), re.compile(r"(?:[A-Za-z]+[+/_~-]+)*")
 AROUND = 600
 NOVELTY = 0.7
 LEVEL = 12
@@ -123,19 +129,42 @@ def novel_spans(raw: bytes, text: str, known: list[tuple[int, int, int, int]]) -
     for k in known:
         top = max(top, k[2])
         furthest.append(top)
-    for m in RUN.finditer(text):
-        s, e = m.span()
+
+    def near(s: int) -> bool:
         i = bisect.bisect_right(ends, s) - 1
-        if i < 0 or s - ends[i] > REACH:
-            continue
+        return i >= 0 and s - ends[i] <= REACH
+
+    def novel(s: int, e: int) -> bool:
+        run = text[s:e]
+        if len(run) < LEAST_RUN or not (re.search("[0-9]", run) and re.search("[A-Za-z]", run)):
+            return False
         j = bisect.bisect_right(starts, s) - 1
         if j >= 0 and furthest[j] > s or j + 1 < len(starts) and starts[j + 1] < e:
+            return False
+        return novelty(text[max(0, s - AROUND) : s], run, text[e : e + AROUND]) >= NOVELTY
+
+    def behind(s: int, e: int) -> int | None:
+        """Where a value begins behind the first sensitive word that ends within the piece, and not within a word."""
+        for end in ends[bisect.bisect_right(ends, s) : bisect.bisect_left(ends, e)]:
+            if not text[end].isalpha():
+                at = JOINT.match(text, end, e).end()
+                return next((v for v in dict.fromkeys((at, NAME_WORDS.match(text, at, e).end())) if novel(v, e)), None)
+        return None
+
+    for m in RUN.finditer(text):
+        s, e = m.span()
+        here = bisect.bisect_left(ends, e)
+        if not here or s - ends[here - 1] > REACH:
             continue
-        run = m.group()
-        if not (re.search("[0-9]", run) and re.search("[A-Za-z]", run)):
-            continue
-        if novelty(text[max(0, s - AROUND) : s], run, text[e : e + AROUND]) >= NOVELTY:
-            out.append((s, 3, e, s))
+        found = []
+        for piece in PIECE.finditer(text, s, e):
+            ps, pe = piece.span()
+            if pe - ps >= LEAST_RUN:
+                v = ps if near(ps) and novel(ps, pe) else behind(ps, pe)
+                found += [] if v is None else [(v, 3, pe, v)]
+        if not found and near(s) and novel(s, e):
+            found = [(s, 3, e, s)]
+        out += found
     return out
 
 

@@ -52,3 +52,25 @@ def test_scrubbing_replaces_values_and_counts_anew(spark):
     assert out[1].text == "set token = [SECRET] now" and out[1].n_chars == len(out[1].text)
     assert out[2].text == "plain" and out[3].text is None
     assert secrets.findings(docs.limit(0)).count() == 0
+
+
+VALUE = "Zk3v9QpLr7TnXw2KdB5sYb8HfMqJ"
+
+
+def test_values_behind_names_within_a_run():
+    aws = "wJalrXUtnF7MI/K7MDENG/bPxRf9CYzQ81Lk5vTw"
+    forms = [("AWS_SECRET_ACCESS_KEY={}", aws), ("access_key={}", VALUE), ("signature={}==", VALUE), ("session_id={}", VALUE), ("https://x.org/?session_id={}&n=1", VALUE), ("a=b=session_id={}", VALUE)]
+    forms += [("use session-{} now", VALUE), ("use SECRET_ACCESS_KEY-{} now", VALUE), ("use token_{} now", VALUE), ("use webhook_identifier_for_production_{} now", VALUE)]
+    for form, value in forms:
+        text = form.format(value)
+        spans = secrets.spans_of(text.encode())[1]
+        assert any(k == 3 and s <= text.index(value) and e >= text.index(value) + len(value) for s, k, e, _ in spans), form
+        assert value not in secrets.redacted(text.encode()).decode()
+    assert secrets.redacted(f"session_id={VALUE}== x".encode()) == b"session_id=[SECRET] x"
+    for named in ("authorization_error_handler_version_2", "session=true"):
+        assert secrets.spans_of(named.encode())[1] == []
+
+
+def test_runs_of_short_values_are_judged_whole():
+    text = "credential: Xq7Z_p0LxW3v=Tn8KdR5sYb2"
+    assert [text[s:e] for s, _, e, _ in secrets.spans_of(text.encode())[1]] == ["Xq7Z_p0LxW3v=Tn8KdR5sYb2"]
