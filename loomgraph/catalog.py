@@ -512,7 +512,7 @@ def l3_top_pagerank(g: Graph) -> DataFrame:
 
 @on_graph
 def l4_bridges(g: Graph) -> DataFrame:
-    scores = algorithms.betweenness(projection.relates_to(g), sample=64)
+    scores = algorithms.betweenness(projection.relates_to(g))
     return catalogue.bridges(_metric_table(g).join(scores, "name"))
 
 
