@@ -600,6 +600,12 @@ def l20_exclusive(g: Graph) -> DataFrame:
     return catalogue.exclusive(part, metrics.mention_counts(part))
 
 
+@on_graph
+def l20_exclusive_all(g: Graph) -> DataFrame:
+    """Over all orders."""
+    return catalogue.exclusive(g, metrics.mention_counts(g))
+
+
 @on_graph
 def l21_isolated(g: Graph) -> DataFrame:
     return catalogue.isolated(metrics.degrees(g), metrics.mention_counts(g), below=30)

@@ -5,6 +5,7 @@ from collections import Counter, defaultdict, deque
 import pytest
 
 from loomgraph import catalog
+from loomgraph.model import Graph
 from loomgraph.sources import tables
 
 SF = "/root/testdata/sf0.001"
@@ -48,3 +49,20 @@ def test_bridges_count_paths_from_every_source(graph):
     got = catalog.l4_bridges(graph).collect()
     assert [r.betweenness for r in got] == pytest.approx(sorted((round(x, 2) for x in want.values()), reverse=True)[:10], abs=0.011)
     assert all(r.betweenness == pytest.approx(want[r.concept], abs=0.011) for r in got)
+
+
+def test_exclusive_concepts_over_all_orders(spark, graph):
+    few = [("1-1", "1", "a"), ("1-2", "1", "a"), ("51-1", "51", "b"), ("2-1", "2", "b"), ("50-1", "50", "c"), ("7-1", "7", "c"), ("7-2", "7", "d")]
+    names = spark.createDataFrame([(x,) for x in "abcde"], "name string").selectExpr("name", "name AS search_name")
+    lines = spark.createDataFrame(few, "item_id string, ref string, concept string")
+    sources = spark.createDataFrame([(r, f"Order {r}") for r in {x[1] for x in few}], "bibtex string, title string")
+    changed = {"concepts": names, "sources": sources, "from_source": lines.select("item_id", "ref"), "items": lines.select("item_id"), "mentions": lines.selectExpr("item_id", "concept", "1 AS mention_order"), "chains": graph.chains.limit(0)}
+    got = [tuple(r) for r in catalog.l20_exclusive_all(Graph(**{**graph.__dict__, **changed})).collect()]
+    assert got == [("a", "Order 1", 2), ("d", "Order 7", 1)]
+
+
+def test_exclusive_concepts_of_the_tables(graph):
+    found = defaultdict(set)
+    for r in graph.mentions.join(graph.from_source, "item_id").select("concept", "ref").distinct().collect():
+        found[r.concept].add(r.ref)
+    assert {r.concept for r in catalog.l20_exclusive_all(graph).collect()} == {c for c, refs in found.items() if len(refs) == 1}
