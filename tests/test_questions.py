@@ -8,7 +8,7 @@ from loomgraph import catalog
 from loomgraph.model import Graph
 from loomgraph.sources import tables
 
-SF = "/root/testdata/sf0.001"
+SF, LARGER = "/root/testdata/sf0.001", "/root/testdata/sf0.01"
 
 
 @pytest.fixture(scope="module")
@@ -66,3 +66,17 @@ def test_exclusive_concepts_of_the_tables(graph):
     for r in graph.mentions.join(graph.from_source, "item_id").select("concept", "ref").distinct().collect():
         found[r.concept].add(r.ref)
     assert {r.concept for r in catalog.l20_exclusive_all(graph).collect()} == {c for c, refs in found.items() if len(refs) == 1}
+
+
+def test_aliases_of_all_parts(spark):
+    """Over more than 400 parts."""
+    low, name_of = {}, {r.p_partkey: r.p_name for r in tables.read(spark, LARGER, "part").collect()}
+    for k, name in name_of.items():
+        low[name] = min(k, low.get(name, k))
+    assert any(k > 400 and low[n] != k for k, n in name_of.items())
+    want = Counter()
+    for r in tables.graph(spark, LARGER).chains.select("source", "target").collect():
+        a, b = (str(low[name_of[int(x)]]) for x in r)
+        if a != b:
+            want[a, b] += 1
+    assert {(r.source, r.target): r.n for r in catalog.e9_aliases_all(spark, LARGER).collect()} == want
