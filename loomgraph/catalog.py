@@ -503,6 +503,13 @@ def _metric_table(g: Graph) -> DataFrame:
     return metrics.mention_counts(g).join(metrics.degrees(g), "name").join(ranks, "name").join(topic, "name", "left")
 
 
+def _computed_table(g: Graph) -> DataFrame:
+    """PageRank in the operator's rounds and computed communities; SQL can't follow these."""
+    edges = projection.relates_to(g)
+    ranks = algorithms.pagerank(edges, g.vertices())
+    return metrics.mention_counts(g).join(metrics.degrees(g), "name").join(ranks, "name").join(algorithms.louvain(edges), "name", "left")
+
+
 @on_graph
 def l1_label_counts(g: Graph) -> DataFrame:
     return catalogue.label_counts(g)
@@ -518,10 +525,16 @@ def l3_top_pagerank(g: Graph) -> DataFrame:
     return catalogue.top_pagerank(_metric_table(g))
 
 
+@on_graph
+def l3_top_pagerank_20(g: Graph) -> DataFrame:
+    ranks = algorithms.pagerank(projection.relates_to(g), g.vertices())
+    return catalogue.top_pagerank(metrics.mention_counts(g).join(ranks, "name"))
+
+
 @on_graph
 def l4_bridges(g: Graph) -> DataFrame:
     scores = algorithms.betweenness(projection.relates_to(g))
-    return catalogue.bridges(_metric_table(g).join(scores, "name"))
+    return catalogue.bridges(_computed_table(g).join(scores, "name"))
 
 
 @on_graph
@@ -530,6 +543,11 @@ def l5_communities(g: Graph) -> DataFrame:
     return catalogue.communities(topic)
 
 
+@on_graph
+def l5_communities_computed(g: Graph) -> DataFrame:
+    return catalogue.communities(algorithms.louvain(projection.relates_to(g)))
+
+
 @on_graph
 def l6_citations(g: Graph) -> DataFrame:
     return catalogue.citations(g, PART)
@@ -595,6 +613,11 @@ def l18_compare_communities(g: Graph) -> DataFrame:
     return catalogue.compare_communities(_metric_table(g))
 
 
+@on_graph
+def l18_compare_communities_computed(g: Graph) -> DataFrame:
+    return catalogue.compare_communities(_computed_table(g))
+
+
 @on_graph
 def l19_widespread(g: Graph) -> DataFrame:
     return catalogue.widespread(metrics.mention_counts(g))
@@ -639,6 +662,13 @@ def l24_central_of_community(g: Graph) -> DataFrame:
     return catalogue.top_pagerank(_metric_table(g).where(F.col("community") == BRAND))
 
 
+@on_graph
+def l24_central_of_community_computed(g: Graph) -> DataFrame:
+    """Of the community that holds PART."""
+    m = algorithms.shared(_computed_table(g))
+    return catalogue.top_pagerank(m.join(m.where(F.col("name") == PART).select("community"), "community"))
+
+
 @on_graph
 def l26_paths(g: Graph) -> DataFrame:
     return catalogue.paths(g).groupBy("source").agg(F.count(F.lit(1)).alias("paths"))

@@ -80,3 +80,38 @@ def test_aliases_of_all_parts(spark):
         if a != b:
             want[a, b] += 1
     assert {(r.source, r.target): r.n for r in catalog.e9_aliases_all(spark, LARGER).collect()} == want
+
+
+def planted(spark, graph):
+    """Three cliques of ten, joined in a row; part 7 is in the second."""
+    groups = {"a": [f"a{i}" for i in range(10)], "b": ["7", *(f"b{i}" for i in range(9))], "c": [f"c{i}" for i in range(10)]}
+    pairs = [(x, y) for c in groups.values() for i, x in enumerate(c) for y in c[:i]] + [("a1", "b0"), ("b0", "c1"), ("c2", "b1")]
+    names = [x for c in groups.values() for x in c]
+    concepts = spark.createDataFrame([(x, x) for x in names], "name string, search_name string")
+    chains = spark.createDataFrame([(f"i{i}", *p, "R") for i, p in enumerate(pairs)], "item_id string, source string, target string, type string")
+    said = spark.createDataFrame([(f"m{i}", x, 1) for i, x in enumerate(names)], "item_id string, concept string, mention_order int")
+    at = said.selectExpr("item_id", "concat('s', length(concept)) AS ref")
+    values = spark.createDataFrame([(x, "topic", "Brand#23", 0) for x in names], "concept string, field string, value string, ord int")
+    g = Graph(**{**graph.__dict__, "concepts": concepts, "chains": chains, "mentions": said, "from_source": at, "items": at.select("item_id"), "values": values})
+    return g, groups, pairs
+
+
+def test_questions_about_computed_ranks_and_communities(spark, graph):
+    g, groups, pairs = planted(spark, graph)
+    names = [x for c in groups.values() for x in c]
+    rank, out = dict.fromkeys(names, 0.15), Counter(a for a, _ in pairs)
+    for _ in range(20):
+        flow = Counter()
+        for a, b in pairs:
+            flow[b] += rank[a] / out[a]
+        rank = {x: 0.15 + 0.85 * flow[x] for x in names}
+    first = {min(c): c for c in groups.values()}
+    top = lambda some: [(x, pytest.approx(round(rank[x], 4), abs=1.1e-4)) for x in sorted(some, key=lambda x: (-round(rank[x], 4), x))[:10]]
+    assert [(r.concept, r.pagerank) for r in catalog.l3_top_pagerank_20(g).collect()] == top(names)
+    assert [(r.concept, r.pagerank) for r in catalog.l24_central_of_community_computed(g).collect()] == top(groups["b"])
+    got = {r.community: (r.concepts, r.average_pagerank) for r in catalog.l18_compare_communities_computed(g).collect()}
+    assert got == {k: (10, pytest.approx(sum(rank[x] for x in c) / 10, abs=1e-4)) for k, c in first.items()}
+    assert {r.community: (r.total, r.examples) for r in catalog.l5_communities_computed(g).collect()} == {k: (10, ",".join(sorted(c)[:5])) for k, c in first.items()}
+    want = brandes(pairs)
+    bridges = catalog.l4_bridges(g).collect()
+    assert bridges and all(r.betweenness == pytest.approx(want[r.concept], abs=0.011) and r.pagerank == pytest.approx(rank[r.concept]) and r.concept in first[r.community] for r in bridges)
