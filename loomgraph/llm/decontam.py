@@ -239,12 +239,16 @@ def contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 
 def clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """The documents that are not contaminated, with all their columns; one narrow pass for each block of the benchmark."""
+    """The documents that are not contaminated, with all their columns; one narrow pass for each block of the benchmark.
+
+    Rows are judged by their own text, whatever their doc_id: over several blocks by its SHA-256.
+    """
     bounded_batches(docs.sparkSession)
     probes = [Probe(block) for block in _blocks(benchmark)]
     if len(probes) > 1:
-        verdict = contamination(docs, benchmark).where("contaminated").select("doc_id").distinct()
-        return docs.join(verdict, "doc_id", "left_anti")
+        key = F.sha2(F.col("text").cast("string"), 256)
+        verdict = contamination(docs.select(key.alias("doc_id"), "text"), benchmark).where("contaminated").select(F.col("doc_id").alias("_text_sha256")).distinct()
+        return docs.join(verdict, key == F.col("_text_sha256"), "left_anti")
     shared = docs.sparkSession.sparkContext.broadcast(probes[0])
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

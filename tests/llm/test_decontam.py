@@ -73,3 +73,13 @@ def test_empty_tables_and_repeats(spark):
     docs = spark.createDataFrame([(1, "a b c"), (1, "a b c"), (None, "x")], "doc_id long, text string")
     assert decontam.contamination(docs, items.limit(0)).where("contaminated").count() == 0
     assert decontam.contamination(docs, items).where("contaminated").count() == 2
+
+
+@pytest.mark.parametrize("block", [1 << 24, 20])
+def test_clean_judges_each_row_by_its_text(spark, monkeypatch, block):
+    monkeypatch.setattr(decontam, "BLOCK_BYTES", block)
+    rows = [(None, "a b c"), (None, "other words"), (1, "d e f g h i j"), (1, "clean words"), (2, None), (None, None), (3, "a b c"), (3, "a b c")]
+    d = spark.createDataFrame(rows, "doc_id long, text string")
+    b = spark.createDataFrame([(1, "a b c"), (2, "d e f g h i j"), (3, "k l m n o p q")], "item_id long, text string")
+    got = sorted(map(tuple, decontam.clean(d, b).collect()), key=str)
+    assert got == sorted([(None, "other words"), (1, "clean words"), (2, None), (None, None)], key=str)
