@@ -39,7 +39,7 @@ def hierarchy(g: Graph) -> DataFrame:
     return g.hierarchy.distinct().orderBy("type", "child", "parent")
 
 
-def closure(edges: DataFrame, max_depth: int = 64) -> DataFrame:
+def closure(edges: DataFrame) -> DataFrame:
     """node, ancestor, depth (the least), each node its own at depth 0; cycles end because reached pairs are dropped.
 
     Pairs reached at one depth are joined with the edges until none is new.
@@ -47,8 +47,9 @@ def closure(edges: DataFrame, max_depth: int = 64) -> DataFrame:
     up = edges.select(F.col("child"), F.col("parent")).distinct()
     nodes = up.select(F.col("child").alias("node")).unionByName(up.select(F.col("parent").alias("node"))).distinct()
     reached = shared(nodes.select("node", F.col("node").alias("ancestor"), F.lit(0).alias("depth")))
-    front = reached
-    for depth in range(1, max_depth + 1):
+    front, depth = reached, 0
+    while True:
+        depth += 1
         step = front.join(up, front.ancestor == up.child).select("node", F.col("parent").alias("ancestor")).distinct()
         front = shared(step.join(reached, ["node", "ancestor"], "left_anti").withColumn("depth", F.lit(depth)))
         if front.isEmpty():

@@ -66,3 +66,8 @@ def test_choice_of_metrics_and_failures(spark):
     out = alg.compute(bad, "unknown")
     assert set(out) == {"pagerank", "betweenness", "community"} and all(isinstance(x, Exception) for x in out.values())
     assert alg.compute(bad, "none") == {}
+
+
+def test_closure_of_more_than_64_levels(spark):
+    up = spark.createDataFrame([(i, i + 1) for i in range(66)], "child int, parent int").coalesce(1)
+    assert taxonomy.closure(up).where("node = 0").agg({"depth": "max"}).first()[0] == 66
