@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from loomgraph.functions import text
+
 
 def trimmed_values(df: DataFrame, column: str) -> DataFrame:
     """One row per non-blank value; lists are flattened, case is kept."""
@@ -25,6 +27,49 @@ def resolve(owners: DataFrame, referrers: DataFrame) -> tuple[DataFrame, DataFra
     return entities, edges, orphans
 
 
+def declared(specs: dict) -> tuple[dict[str, str], dict[str, str]]:
+    """(field: entity) of the source fields that identify entities, and of those that refer to them."""
+    fields = {n: x for n, x in specs.items() if isinstance(x, dict) and str(x.get("scope") or "").upper() == "SOURCE"}
+    return {n: str(x["identifies"]) for n, x in fields.items() if x.get("identifies")}, {n: str(x["refers_to"]) for n, x in fields.items() if x.get("refers_to")}
+
+
+def across(members: list[tuple[str, dict, DataFrame]]) -> tuple[DataFrame, DataFrame, DataFrame, list[str]] | None:
+    """(entities, references, orphans, warnings) of members (alias, field specs, source values); none if nothing is declared.
+
+    An entity belongs to the first member that identifies it; others that do are warned of.  Sources are named alias:@ref.
+    """
+    owner: dict[str, str] = {}
+    warnings, own, other = [], None, None
+    for place, (alias, specs, values) in enumerate(members):
+        identify, refer = declared(specs)
+        for name, entity in identify.items():
+            if entity in owner:
+                warnings.append(f"{entity} is identified by {owner[entity]} and by {alias}; the first counts")
+                continue
+            owner[entity] = alias
+            own = _also(own, _named(values, name, entity, alias).withColumn("ord", F.col("ord") + F.lit(place << 40)))
+        for name, entity in refer.items():
+            other = _also(other, _named(values, name, entity, alias).drop("ord"))
+    if own is None and other is None:
+        return None
+    empty = members[0][2].limit(0)
+    entities, edges, orphans = resolve(own if own is not None else _named(empty, "", "", ""), other if other is not None else _named(empty, "", "", "").drop("ord"))
+    return _labelled(entities), _labelled(edges), _labelled(orphans), warnings
+
+
+def _also(a: DataFrame | None, b: DataFrame) -> DataFrame:
+    return b if a is None else a.unionByName(b)
+
+
+def _named(values: DataFrame, name: str, entity: str, alias: str) -> DataFrame:
+    rows = values.where(F.col("field") == name).withColumn("value", F.trim("value")).where("value <> ''")
+    return rows.select(F.lit(entity).alias("entity"), "value", F.lit(alias).alias("member"), F.concat(F.lit(f"{alias}:@"), F.regexp_replace("bibtex", "^@+", "")).alias("source"), "ord")
+
+
+def _labelled(rows: DataFrame) -> DataFrame:
+    return rows.withColumn("label", text.entity_label(F.col("entity")))
+
+
 def merge_origins(bibliography: DataFrame, dataset: DataFrame, key: str) -> DataFrame:
     """Both origins of a source's fields; per field the bibliography wins, blank ones do not count."""
     fields = sorted({*bibliography.columns, *dataset.columns} - {key})

@@ -10,22 +10,31 @@ from loomgraph.operators.taxonomy import linked_topics
 
 
 def degrees(g: Graph) -> DataFrame:
-    """name, out_degree, in_degree, degree: distinct neighbours each way; none is 0; a neighbour both ways counts twice."""
-    pairs = g.chains.select("source", "target").distinct()
-    out = pairs.groupBy(F.col("source").alias("name")).agg(F.count(F.lit(1)).alias("out_degree"))
-    into = pairs.groupBy(F.col("target").alias("name")).agg(F.count(F.lit(1)).alias("in_degree"))
-    both = g.vertices().join(out, "name", "left").join(into, "name", "left").na.fill(0, ["out_degree", "in_degree"])
+    """name, out_degree, in_degree, degree: distinct neighbours each way; none is 0; a neighbour both ways counts twice.
+
+    A pair gives a row to each of its ends, an ontology concept one of zeros, so one grouping finds all vertices too.
+    """
+    end = lambda name, out, into: F.struct(F.col(name).alias("name"), F.lit(out).alias("out"), F.lit(into).alias("into"))
+    ends = g.chains.select("source", "target").distinct().select(F.explode(F.array(end("source", 1, 0), end("target", 0, 1))).alias("x")).select("x.*")
+    rows = ends.unionByName(g.concepts.select("name", F.lit(0).alias("out"), F.lit(0).alias("into"))).where("name is not null and name <> ''")
+    both = rows.groupBy("name").agg(F.sum("out").alias("out_degree"), F.sum("into").alias("in_degree"))
     return both.withColumn("degree", F.col("out_degree") + F.col("in_degree"))
 
 
 def located_mentions(g: Graph) -> DataFrame:
     """concept, item_id, ref of mentions whose item has a source; one row each, however often it is mentioned."""
+    if g.located is not None:
+        return g.located.select("concept", "item_id", "ref").distinct()
     return g.mentions.select("concept", "item_id").distinct().join(g.from_source, "item_id", "left")
 
 
 def mention_counts(g: Graph) -> DataFrame:
-    """name, mention_count (items), source_count (sources); 0 for concepts that nothing mentions."""
-    counts = located_mentions(g).groupBy(F.col("concept").alias("name")).agg(F.countDistinct("item_id").alias("mention_count"), F.countDistinct("ref").alias("source_count"))
+    """name, mention_count (items), source_count (sources); 0 for concepts that nothing mentions.
+
+    An item has one source, so items are counted within (concept, source) first, and concepts add up what is left of that.
+    """
+    per = located_mentions(g).groupBy("concept", "ref").agg(F.count(F.lit(1)).alias("n"))
+    counts = per.groupBy(F.col("concept").alias("name")).agg(F.sum("n").alias("mention_count"), F.count("ref").alias("source_count"))
     return g.vertices().join(counts, "name", "left").na.fill(0, ["mention_count", "source_count"])
 
 
@@ -52,8 +61,12 @@ def diversity(g: Graph, name: str) -> DataFrame:
 
 def source_metrics(g: Graph) -> DataFrame:
     """bibtex, item_count, concept_count; 0 for sources without items."""
-    items = g.from_source.groupBy(F.col("ref").alias("bibtex")).agg(F.countDistinct("item_id").alias("item_count"))
-    concepts = g.from_source.join(g.mentions, "item_id").groupBy(F.col("ref").alias("bibtex")).agg(F.countDistinct("concept").alias("concept_count"))
+    items = g.from_source.distinct().groupBy(F.col("ref").alias("bibtex")).agg(F.count(F.lit(1)).alias("item_count"))
+    if g.located is not None:
+        pairs = g.located.select("ref", "concept").distinct()
+    else:
+        pairs = g.from_source.join(g.mentions, "item_id").select("ref", "concept").distinct()
+    concepts = pairs.groupBy(F.col("ref").alias("bibtex")).agg(F.count("concept").alias("concept_count"))
     return g.sources.select("bibtex").join(items, "bibtex", "left").join(concepts, "bibtex", "left").na.fill(0, ["item_count", "concept_count"])
 
 

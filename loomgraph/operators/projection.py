@@ -28,8 +28,8 @@ def co_citation(g: Graph) -> DataFrame:
     A pair that only one item of a source mentions does not count, for a path may not use an edge twice.  Per source and
     concept the first and last item tell whether two different items exist: they do unless both have one and the same.
     """
-    once = g.mentions.select("concept", "item_id").distinct().join(g.from_source, "item_id")
-    ends = once.groupBy("ref", "concept").agg(F.min("item_id").alias("low"), F.max("item_id").alias("high"))
+    once = g.located if g.located is not None else g.mentions.select("concept", "item_id").join(g.from_source, "item_id")
+    ends = once.where("ref is not null").groupBy("ref", "concept").agg(F.min("item_id").alias("low"), F.max("item_id").alias("high"))
     a = ends.select("ref", F.col("concept").alias("source"), F.col("low").alias("a_low"), F.col("high").alias("a_high"))
     b = ends.select("ref", F.col("concept").alias("target"), F.col("low").alias("b_low"), F.col("high").alias("b_high"))
     rows = a.join(b, "ref").where("source < target and not (a_low = a_high and b_low = b_high and a_low = b_low)")
@@ -53,7 +53,8 @@ def projected(g: Graph, how: str | None = None) -> DataFrame:
 
 def neighbours(edges: DataFrame) -> DataFrame:
     """name, neighbor_count: distinct neighbours either way; a loop counts once."""
-    both = edges.select(F.col("source").alias("name"), F.col("target").alias("other")).unionByName(edges.select(F.col("target").alias("name"), F.col("source").alias("other")))
+    way = lambda a, b: F.struct(F.col(a).alias("name"), F.col(b).alias("other"))
+    both = edges.select(F.explode(F.array(way("source", "target"), way("target", "source"))).alias("x")).select("x.*")
     return both.distinct().groupBy("name").agg(F.count(F.lit(1)).alias("neighbor_count"))
 
 

@@ -12,7 +12,7 @@ from loomgraph.functions import text
 from loomgraph.model import Graph
 
 
-@dataclass
+@dataclass(frozen=True)
 class Scope:
     """What is shown; the defaults show everything."""
 
@@ -85,18 +85,27 @@ def slugs(names: DataFrame) -> DataFrame:
 
 
 def edges(g: Graph) -> DataFrame:
-    """source, target, total, dominant type, relations ("TYPE xN", most first), sources, width; over all chains."""
-    located = g.chains.join(g.from_source, "item_id", "left").select("source", "target", "type", F.coalesce("ref", "item_id").alias("ref"))
-    typed = located.groupBy("source", "target", "type").agg(F.count(F.lit(1)).alias("n"), F.collect_set("ref").alias("refs"))
-    pair = typed.groupBy("source", "target").agg(
-        F.sum("n").alias("total"),
-        F.sort_array(F.collect_list(F.struct((-F.col("n")).alias("less"), F.col("type").alias("type")))).alias("types"),
-        F.size(F.array_distinct(F.flatten(F.collect_list("refs")))).cast("long").alias("sources"),
-    )
+    """source, target, total, dominant type, relations ("TYPE xN", most first, then first seen), sources, width; all chains.
+
+    Types are counted per pair first, and (pair, reference) once each, so a pair's row holds its types and nothing else.
+    """
+    located = g.chains.join(g.from_source, "item_id", "left").select("source", "target", "type", "ord", F.coalesce("ref", "item_id").alias("ref"))
+    once = located.groupBy("source", "target", "ref", "type").agg(F.count(F.lit(1)).alias("n"), F.min("ord").alias("ord"))
+    refs = once.groupBy("source", "target", "ref").agg(F.lit(1).alias("one")).groupBy("source", "target").agg(F.count(F.lit(1)).alias("sources"))
+    typed = once.groupBy("source", "target", "type").agg(F.sum("n").alias("n"), F.min("ord").alias("ord"))
+    pair = typed.groupBy("source", "target").agg(F.sum("n").alias("total"), F.sort_array(F.collect_list(F.struct((-F.col("n")).alias("less"), "ord", "type"))).alias("types"))
     shown = F.array_join(F.transform("types", lambda x: F.concat(x["type"], F.lit(" x"), (-x["less"]).cast("string"))), " | ")
+    pair = pair.join(refs, ["source", "target"])
     return pair.select("source", "target", "total", F.col("types")[0]["type"].alias("dominant"), shown.alias("relations"), "sources", edge_width(F.col("total")).alias("width"))
 
 
+def grouped(g: Graph) -> DataFrame:
+    """source, target, relation ("many" for several types), types in the order they were first seen."""
+    typed = g.chains.groupBy("source", "target", "type").agg(F.min("ord").alias("ord"))
+    pairs = typed.groupBy("source", "target").agg(F.transform(F.sort_array(F.collect_list(F.struct("ord", "type"))), lambda x: x["type"]).alias("types"))
+    return pairs.select("source", "target", F.when(F.size("types") > 1, "many").otherwise(F.col("types")[0]).alias("relation"), F.array_join("types", ", ").alias("types"))
+
+
 def edge_width(total: Column) -> Column:
     return F.round(1 + F.least(total, F.lit(40)) * 0.35, 2)
 
@@ -142,8 +151,8 @@ def evidence(g: Graph, each: int = EVIDENCE_EACH) -> DataFrame:
 
 def first_sources(g: Graph) -> DataFrame:
     """concept, source: of the first item that mentions it and has one."""
-    rows = g.mentions.join(g.from_source, "item_id")
-    return rows.groupBy("concept").agg(F.min_by("ref", F.struct("item_id", "ref")).alias("source"))
+    rows = g.located if g.located is not None else g.mentions.join(g.from_source, "item_id")
+    return rows.where("ref is not null").groupBy("concept").agg(F.min_by("ref", F.struct("item_id", "ref")).alias("source"))
 
 
 def nodes(g: Graph, s: Scope) -> DataFrame:

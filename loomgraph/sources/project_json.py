@@ -13,6 +13,7 @@ from typing import Any
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from loomgraph.errors import CompilationError
 from loomgraph.functions import text
 from loomgraph.model import Graph
 from loomgraph.operators import linkage
@@ -26,10 +27,6 @@ SPECIES = {"KIND": "KIND_OF", "PART": "PART_OF", "INSTANCE": "INSTANCE_OF"}
 PROTECTED = ("item_id", "citation", "description", "source_file", "source_line", "annotation_id")
 
 
-class CompilationError(ValueError):
-    """The document is no exported project."""
-
-
 @dataclass
 class Template:
     scalar: list[str] = field(default_factory=list)
@@ -122,7 +119,15 @@ def _small(spark: SparkSession, path: str, *names: str) -> dict[str, Any]:
     row = raw.select(*(F.get_json_object("value", f"$.{n}").alias(n) for n in names)).first()
     if row is None:
         raise CompilationError("no document")
-    return {n: json.loads(row[n]) if row[n] else {} for n in names}
+    return {n: _parsed(row[n]) if row[n] else {} for n in names}
+
+
+def _parsed(value: str) -> Any:
+    """A part of the document; a bare string is itself."""
+    try:
+        return json.loads(value)
+    except ValueError:
+        return value
 
 
 def _entries(doc: DataFrame, name: str, key: str) -> DataFrame:
@@ -142,14 +147,24 @@ def _labels(t: Template, name: str, v: Column) -> Column:
     return F.coalesce(one, many, plain)
 
 
+def own_description(described: Column, props: Column) -> Column:
+    """A description that no property repeats."""
+    same = F.exists(F.map_values(props), lambda x: x == described)
+    return F.when(~F.coalesce(same, F.lit(False)), described)
+
+
+def item_id(mark: str) -> Column:
+    """The id of an item: its block's, n for a hop or c for a code, and its number in the block from 1; over columns id and i."""
+    return F.format_string(f"%s_{mark}%04d", "id", F.col("i") + 1)
+
+
 def concepts(doc: DataFrame, t: Template) -> tuple[DataFrame, DataFrame]:
     """Concepts with scalar properties, and their taxonomy values in order."""
     rows = _entries(doc, "ontology", "name").withColumn("f", _get(F.col("v"), "map<string,variant>"))
     at = lambda f: F.try_element_at("f", F.lit(f))
     props = F.map_filter(F.create_map(*(x for f in t.scalar for x in (F.lit(f), _get(at(f), "string")))) if t.scalar else F.create_map().cast("map<string,string>"), lambda k, v: v.isNotNull())
     described = _get(at("description"), "string")
-    same = F.exists(F.map_values(props), lambda x: x == described)
-    out = rows.select("name", text.humanized(F.col("name")).alias("search_name"), F.when(~F.coalesce(same, F.lit(False)), described).alias("description"), F.lit(None).cast("array<string>").alias("aliases"), props.alias("props"))
+    out = rows.select("name", text.humanized(F.col("name")).alias("search_name"), own_description(described, props).alias("description"), F.lit(None).cast("array<string>").alias("aliases"), props.alias("props"))
     values = None
     for f in t.graph:
         one = rows.select(F.col("name").alias("concept"), F.lit(f).alias("field"), F.posexplode(_labels(t, f, at(f))).alias("ord", "value")).where("value is not null and value <> ''").select("concept", "field", "value", "ord")
@@ -190,15 +205,39 @@ def blocks(doc: DataFrame, t: Template, root: str = "") -> DataFrame:
 
 
 def _item(rows: DataFrame, mark: str, citation: str, described: Column, *more: str) -> DataFrame:
-    number = F.format_string(f"%s_{mark}%04d", "id", F.col("i") + 1)
-    return rows.select(number.alias("item_id"), "b", "i", "ref", F.col(citation).alias("citation"), described.alias("description"), "source_file", F.col("line").alias("source_line"), F.col("id").alias("annotation_id"), F.map_filter("props", lambda k, v: ~k.isin(*PROTECTED)).alias("props"), *more)
+    return rows.select(item_id(mark).alias("item_id"), "b", "i", "ref", F.col(citation).alias("citation"), described.alias("description"), "source_file", F.col("line").alias("source_line"), F.col("id").alias("annotation_id"), F.map_filter("props", lambda k, v: ~k.isin(*PROTECTED)).alias("props"), *more)
+
+
+def inferred_root(doc: DataFrame, includes: list[str]) -> str:
+    """What is left of the first annotated file that ends with an included path, when that path is taken off its end.
+
+    Files come as absolute paths of the machine that compiled, includes relative to the project.
+    """
+    rows = doc.select(F.posexplode(_get(F.col("corpus"), "array<variant>")).alias("b", "v"))
+    return root_of(rows.select("b", F.try_variant_get("v", "$.traceability.file", "string").alias("file")), includes)
 
 
-def load(spark: SparkSession, path: str, root: str = "") -> Graph:
+def root_of(files: DataFrame, includes: list[str]) -> str:
+    """As inferred_root(), of files (b, file) in order of b."""
+    known = [i.replace("\\", "/") for i in includes if i]
+    if not known:
+        return ""
+    rows = files.select("b", F.translate("file", "\\", "/").alias("file"))
+    fits = F.filter(F.array(*map(F.lit, known)), lambda i: F.endswith(F.col("file"), i))
+    rows = rows.where(F.col("file").isNotNull()).withColumn("include", F.try_element_at(fits, F.lit(1))).where("include is not null")
+    first = rows.agg(F.min_by(F.expr("left(file, length(file) - length(include))"), "b").alias("root")).first().root
+    return (first or "").rstrip("/")
+
+
+def load(spark: SparkSession, path: str, root: str | None = None) -> Graph:
+    """The graph of an exported project.  Files are shown below ``root``, by default the one that includes give away."""
     doc = document(spark, path)
-    small = _small(spark, path, "template", "project", "indices", "export_metadata")
+    small = _small(spark, path, "version", "template", "project", "indices", "export_metadata")
     if not small["template"] and not small["project"]:
         raise CompilationError(f"{path} is no exported project")
+    warnings = [] if str(small["version"]).startswith("3") else [f"version {small['version'] or 'unknown'} of the export; made for 3"]
+    if root is None:
+        root = inferred_root(doc, [str(i["path"]) for i in (small["project"] or {}).get("includes") or [] if isinstance(i, dict) and i.get("path")])
     t = analyzed(small["template"])
     nodes, values = concepts(doc, t)
     every = blocks(doc, t, root)
@@ -233,7 +272,11 @@ def load(spark: SparkSession, path: str, root: str = "") -> Graph:
     graph = Graph(
         concepts=nodes, values=values, sources=_sources(doc, every, t), items=items, from_source=located, mentions=mentions, chains=chains, hierarchy=hierarchy,
         concept_label=t.label, graph_fields=t.graph, field_specs=t.specs,
-        context={"project": (small["project"] or {}).get("name", "project"), "description": (small["project"] or {}).get("description"), "compiled_at": (small["export_metadata"] or {}).get("timestamp")},
+        source_values=_source_values(doc, every, t),
+        context={
+            "project": (small["project"] or {}).get("name", "project"), "description": (small["project"] or {}).get("description"), "compiled_at": (small["export_metadata"] or {}).get("timestamp"),
+            "project_parts": small["project"], "template": small["template"], "export_metadata": small["export_metadata"], "root": root, "warnings": warnings,
+        },
     )
     return graph
 
@@ -266,6 +309,27 @@ def _reconciled(spark: SparkSession, nodes: DataFrame, chains: DataFrame, mentio
     return nodes, chains, mentions, canon
 
 
+def _source_values(doc: DataFrame, every: DataFrame, t: Template) -> DataFrame:
+    """bibtex, field, value, ord: each value of the fields that identify or refer to entities, by first use of the source.
+
+    Of a field's origins the bibliography counts unless it is blank there; lists give a row a value.
+    """
+    names = [n for part in linkage.declared(t.specs) for n in part]
+    refs = every.groupBy("ref").agg(F.min("b").alias("ord"))
+    if not names:
+        return refs.select(F.col("ref").alias("bibtex"), F.lit("").alias("field"), F.lit("").alias("value"), "ord").limit(0)
+    full = lambda v: F.filter(F.transform(_list(v), lambda x: F.trim(x)), lambda x: x != "")
+    entry = lambda part: _entries(doc, part, "key").withColumn("f", _get(F.col("v"), "map<string,variant>")).select("key", *(full(F.try_element_at("f", F.lit(n))).alias(f"{part}_{n}") for n in names))
+    both = entry("bibliography").join(entry("dataset"), "key", "full")
+    size = lambda c: F.coalesce(F.size(c), F.lit(0))
+    pick = lambda n: F.when(size(f"bibliography_{n}") > 0, F.col(f"bibliography_{n}")).otherwise(F.col(f"dataset_{n}")).alias(n)
+    packed = both.select("key", F.struct(*map(pick, names)).alias("entry"))
+    rows = linkage.tolerant_lookup(refs, "ref", packed, "key", "entry")
+    pairs = F.array(*(F.struct(F.lit(n).alias("field"), F.col(f"entry.{n}").alias("list")) for n in names))
+    rows = rows.select("ref", "ord", F.explode(pairs).alias("x")).select("ref", "ord", "x.field", F.explode("x.list").alias("value"))
+    return rows.select(F.col("ref").alias("bibtex"), "field", "value", "ord")
+
+
 def _sources(doc: DataFrame, every: DataFrame, t: Template) -> DataFrame:
     """A source per reference of the corpus, with the fields of bibliography and dataset; the bibliography wins."""
     names = list(dict.fromkeys([*SOURCE_FIELDS, *t.source]))

@@ -9,6 +9,8 @@ from dataclasses import asdict, dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from loomgraph.errors import StoreError
+
 STALE_SECONDS = 900
 
 
@@ -21,20 +23,42 @@ def rebuild(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").parquet(path)
 
 
-def update(df: DataFrame, path: str, key: list[str]) -> None:
-    """Upsert into a stored table.  The result goes to a new version beside it and then takes its place."""
+def exists(spark: SparkSession, path: str) -> bool:
+    return _files(spark, path).exists(_path(spark, path))
+
+
+def discard(spark: SparkSession, path: str) -> None:
+    _files(spark, path).delete(_path(spark, path), True)
+
+
+def replace(df: DataFrame, path: str) -> None:
+    """Write a table that may be read from the same place: beside it first, then in its place."""
     spark = df.sparkSession
     files = _files(spark, path)
     if not files.exists(_path(spark, path)):
         return rebuild(df, path)
     staged, former = f"{path}.next", f"{path}.former"
-    upserted(spark.read.parquet(path), df, key).write.mode("overwrite").parquet(staged)
+    df.write.mode("overwrite").parquet(staged)
     files.delete(_path(spark, former), True)
     files.rename(_path(spark, path), _path(spark, former))
     files.rename(_path(spark, staged), _path(spark, path))
     files.delete(_path(spark, former), True)
 
 
+def recovered(spark: SparkSession, path: str) -> None:
+    """After a failure between the two renames of replace(): the former table takes its place again."""
+    files, former = _files(spark, path), f"{path}.former"
+    if not files.exists(_path(spark, path)) and files.exists(_path(spark, former)):
+        files.rename(_path(spark, former), _path(spark, path))
+
+
+def update(df: DataFrame, path: str, key: list[str]) -> None:
+    """Upsert into a stored table.  The result goes to a new version beside it and then takes its place."""
+    spark = df.sparkSession
+    recovered(spark, path)
+    replace(upserted(spark.read.parquet(path), df, key) if exists(spark, path) else df, path)
+
+
 def replace_types(old: DataFrame, new: DataFrame, types: list[str]) -> DataFrame:
     """Hierarchy edges of the given types are replaced, others stay: the one case in which an update deletes."""
     return old.where(~F.col("type").isin(types)).unionByName(new)
@@ -74,7 +98,7 @@ def read_state(spark: SparkSession, root: str) -> LoadState | None:
     return LoadState(**json.loads(spark.read.text(f"{root}/_load_state").first().value))
 
 
-class Busy(RuntimeError):
+class Busy(StoreError):
     """Another load is running."""
 
 
@@ -86,5 +110,13 @@ def begin(spark: SparkSession, root: str, owner: str, now: float | None = None)
     write_state(spark, root, LoadState("in_progress", owner, now))
 
 
+def beat(spark: SparkSession, root: str, owner: str, now: float | None = None) -> None:
+    """The owner's sign of life, after each table it has written; another load that has taken over ends this one."""
+    state = read_state(spark, root)
+    if state is None or state.owner != owner:
+        raise Busy(f"{state.owner if state else 'nobody'} has taken over {root}")
+    write_state(spark, root, LoadState("in_progress", owner, time.time() if now is None else now))
+
+
 def finish(spark: SparkSession, root: str, owner: str, now: float | None = None) -> None:
     write_state(spark, root, LoadState("complete", owner, time.time() if now is None else now))

@@ -48,8 +48,10 @@ def graph(spark: SparkSession, sf_dir: str) -> Graph:
         items=rows.select("item_id", F.concat_ws(" ", "l_returnflag", "l_linestatus").alias("citation"), no_text.alias("description"), F.concat(F.lit("orders/"), F.col("ref")).alias("source_file"), F.col("l_linenumber").alias("source_line"), F.concat_ws("_", "l_orderkey", "l_linenumber").alias("annotation_id")),
         from_source=rows.select("item_id", "ref"),
         mentions=rows.select("item_id", "concept", F.lit(1).alias("mention_order")),
+        located=rows.select("concept", "item_id", "ref"),
         chains=chains(rows),
         hierarchy=up.unionByName(inside),
         graph_fields=["topic", "aspect", "dimension"],
         field_specs={"topic": {"type": "TOPIC", "scope": "ONTOLOGY"}},
+        context={"project": "orders"},
     )
