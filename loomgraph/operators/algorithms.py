@@ -5,29 +5,66 @@ Each round is a join and a partial aggregate; lineage is cut every few rounds by
 
 from __future__ import annotations
 
+import tempfile
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from loomgraph.errors import StoreError
+
 DAMPING, ROUNDS = 0.85, 20
 #: Edges up to which each betweenness task may hold the whole adjacency (twelve bytes an edge).
 LOCAL_EDGES = 5_000_000
 CUT_EVERY = 5
 
 
-def shared(df: DataFrame) -> DataFrame:
-    """A reliable checkpoint; a session that names no folder (tests) gets a temporary one."""
-    context = df.sparkSession.sparkContext
-    if context.getCheckpointDir() is None:
-        import tempfile
+def shared_dir(spark: SparkSession) -> str:
+    """The folder that driver and executors share, as the session names it; local sessions may go without a name."""
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    if not named:
+        if not spark.sparkContext.master.startswith("local"):
+            raise StoreError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        named = tempfile.mkdtemp(prefix="loomgraph-")
+        spark.conf.set("spark.checkpoint.dir", named)
+    if spark.sparkContext.getCheckpointDir() is None:
+        spark.sparkContext.setCheckpointDir(named)
+    return named.rstrip("/")
 
-        context.setCheckpointDir(df.sparkSession.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="loomgraph-"))
+
+def shared(df: DataFrame) -> DataFrame:
+    """A reliable checkpoint."""
+    shared_dir(df.sparkSession)
     return df.checkpoint()
 
 
+class Dealt:
+    """Tables in the shared folder, bucketed by a column, so that joins and groupings by it move nothing.  For ``with``."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self.held = spark, []
+        self.buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+    def __enter__(self) -> Dealt:
+        return self
+
+    def by(self, df: DataFrame, column: str) -> DataFrame:
+        name = f"loomgraph_{uuid.uuid4().hex}"
+        path = f"{shared_dir(self.spark)}/{name}"
+        self.held.append((name, path))
+        df.repartition(self.buckets, column).write.format("parquet").option("path", path).bucketBy(self.buckets, column).sortBy(column).saveAsTable(name)
+        return self.spark.table(name)
+
+    def __exit__(self, *_: object) -> None:
+        for name, path in self.held:
+            self.spark.sql(f"DROP TABLE IF EXISTS {name}")
+            where = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+            where.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+
+
 def vertices_of(edges: DataFrame) -> DataFrame:
     return edges.select(F.col("source").alias("name")).unionByName(edges.select(F.col("target").alias("name"))).distinct()
 
@@ -35,21 +72,26 @@ def vertices_of(edges: DataFrame) -> DataFrame:
 def pagerank(edges: DataFrame, vertices: DataFrame | None = None, rounds: int = ROUNDS, damping: float = DAMPING) -> DataFrame:
     """name, pagerank: (1 - d) + d * sum of rank / out-degree; what vertices without out-edges hold is lost.
 
-    weight is the number of parallel edges.  The edges' shares are computed once and stay dealt by source; a round moves
-    ranks and partial sums only.
+    weight is the number of parallel edges.  The edges' shares are computed once, for numbered vertices, and stored bucketed
+    by source, the vertices by number.  What flows in a round is summed per target, and that sum is dealt as the next round
+    needs it: partial sums are all that moves.
     """
     vertices = vertices if vertices is not None else vertices_of(edges)
-    out = edges.groupBy("source").agg(F.sum("weight").alias("out"))
-    share = shared(edges.join(out, "source").select("source", "target", (F.col("weight") / F.col("out")).alias("share")).repartition("source"))
-    names = shared(vertices.select("name").distinct().repartition("name"))
-    ranks = names.withColumn("pagerank", F.lit(1.0 - damping))
-    # Round 0 holds the base everywhere; every further round adds what flows in.
-    for i in range(rounds):
-        flow = share.join(ranks, share.source == ranks.name).groupBy("target").agg(F.sum(F.col("share") * F.col("pagerank")).alias("flow"))
-        ranks = names.join(flow, names.name == flow.target, "left").select("name", (F.lit(1.0 - damping) + F.lit(damping) * F.coalesce("flow", F.lit(0.0))).alias("pagerank"))
-        if (i + 1) % CUT_EVERY == 0 and i + 1 < rounds:
-            ranks = shared(ranks)
-    return ranks
+    names = numbered(vertices)
+    u, v = (names.select(F.col("name").alias(side), F.col("number").alias(n)) for side, n in (("source", "u"), ("target", "v")))
+    with Dealt(edges.sparkSession) as tables:
+        out = edges.groupBy("source").agg(F.sum("weight").alias("out"))
+        coded = edges.join(out, "source").join(u, "source").join(v, "target")
+        share = tables.by(coded.select("u", "v", (F.col("weight") / F.col("out")).alias("share")), "u")
+        every = tables.by(names.select("number"), "number")
+        ranks = every.withColumn("pagerank", F.lit(1.0 - damping))
+        # Round 0 holds the base everywhere; every further round adds what flows in.
+        for i in range(rounds):
+            flow = share.join(ranks, share.u == ranks.number).groupBy("v").agg(F.sum(F.col("share") * F.col("pagerank")).alias("flow"))
+            ranks = every.join(flow, every.number == flow.v, "left").select("number", (F.lit(1.0 - damping) + F.lit(damping) * F.coalesce("flow", F.lit(0.0))).alias("pagerank"))
+            if (i + 1) % CUT_EVERY == 0 and i + 1 < rounds:
+                ranks = shared(ranks)
+        return shared(names.join(ranks, "number").select("name", "pagerank"))
 
 
 def numbered(names: DataFrame) -> DataFrame:
@@ -216,60 +258,72 @@ def _in_one_task(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     yield pd.DataFrame({"name": names, "community": names[first[member]]})
 
 
-def louvain(edges: DataFrame, local_edges: int = LOCAL_EDGES) -> DataFrame:
-    """name, community: communities of locally largest modularity, named by their smallest member.
+def louvain_in_one_task(edges: DataFrame) -> DataFrame:
+    """As louvain(), moving one vertex after the other: for graphs that the caller knows to fit one task."""
+    return shared(_flags(edges)).repartition(1).mapInPandas(_in_one_task, "name string, community string")
 
-    Up to ``local_edges`` edges one task holds the graph; larger graphs are moved in rounds of joins.
-    """
-    level = shared(_flags(edges))
-    if level.count() <= local_edges:
-        return level.repartition(1).mapInPandas(_in_one_task, "name string, community string")
-    return louvain_rounds(edges)
+
+#: Rounds of a pass, and passes, after which communities count as unsettled; and the gain of modularity that is none.
+MOST_ROUNDS, MOST_PASSES, LEAST_GAIN = 100, 30, 1e-3
 
 
-def louvain_rounds(edges: DataFrame, passes: int = 3, rounds: int = 6, seed: int = 1) -> DataFrame:
+def louvain(edges: DataFrame, seed: int = 1) -> DataFrame:
     """name, community: communities of locally largest modularity, named by their smallest member.
 
     In each round about half the vertices, drawn by hash, may move to the neighbouring community with the largest gain, so
-    two neighbours seldom swap; a pass ends when no more than one in a hundred moves; then communities become vertices and the next pass begins.  Every step is an aggregate over
-    edges: a hub's edges are summed by (vertex, community) before they meet.
+    two neighbours seldom swap.  A pass ends when all moves of a round together gain less than ``LEAST_GAIN``; then
+    communities become vertices and the next pass begins, until one gains nothing.  Every step is an aggregate over edges: a
+    hub's edges are summed by (vertex, community) before they meet.
     """
-    level = shared(_flags(edges))
+    names = numbered(vertices_of(edges))
+    ends = (names.select(F.col("name").alias(side), F.col("number").alias(n)) for side, n in (("source", "u"), ("target", "v")))
+    flat = _flags(edges).join(next(ends), "source").join(next(ends), "target").select("u", "v", "weight")
+    level = shared(flat)
     total = level.agg(F.sum("weight").alias("t")).first().t
-    names = shared(vertices_of(edges).select("name", F.col("name").alias("at")))
-    if not total:
-        return names.select("name", F.col("name").alias("community"))
-    for p in range(passes):
-        degree = shared(level.groupBy(F.col("source").alias("v")).agg(F.sum("weight").alias("k")))
-        member = degree.select("v", "k", F.col("v").alias("c"))
-        moved_ever = False
-        for r in range(rounds):
-            size = member.groupBy("c").agg(F.sum("k").alias("size"))
-            links = level.where("source <> target").join(member.select(F.col("v").alias("target"), F.col("c").alias("c2")), "target").groupBy(F.col("source").alias("v"), F.col("c2").alias("to")).agg(F.sum("weight").alias("w"))
-            mine = member.where(F.pmod(F.xxhash64("v", F.lit(seed + 31 * r + 997 * p)), F.lit(2)) == 0)
-            choice = mine.select("v", "k", "c", F.col("c").alias("to"), F.lit(0.0).alias("w")).unionByName(mine.join(links, "v").select("v", "k", "c", "to", "w"))
-            choice = choice.groupBy("v", "k", "c", "to").agg(F.sum("w").alias("w")).join(size.withColumnRenamed("c", "to"), "to")
-            inside = F.when(F.col("to") == F.col("c"), F.col("size") - F.col("k")).otherwise(F.col("size"))
-            gain = F.round(F.col("w") - F.col("k") * inside / F.lit(total), 9)
-            best = choice.groupBy("v").agg(F.max_by("to", F.struct(gain.alias("gain"), (F.col("to") == F.col("c")).alias("stay"), F.col("to").alias("to"))).alias("to"))
-            after = shared(member.join(best, "v", "left").select("v", "k", F.coalesce("to", "c").alias("c"), (F.coalesce("to", "c") != F.col("c")).alias("moved")))
-            moved, n = after.agg(F.sum(F.col("moved").cast("int")), F.count(F.lit(1))).first()
-            member = after.drop("moved")
-            moved_ever = moved_ever or bool(moved)
-            if r and moved * 100 <= n:
-                break
-        if not moved_ever:
+    at = names.select("number", F.col("number").alias("at"))
+    for p in range(MOST_PASSES if total else 0):
+        member, gained = _settled(level, total, seed + 997 * p)
+        if not gained:
             break
-        to = member.select("v", "c")
-        names = shared(names.join(to, names["at"] == to["v"]).select("name", F.col("c").alias("at")))
+        to = member.select(F.col("v").alias("at"), "c")
+        at = shared(at.join(to, "at").select("number", F.col("c").alias("at")))
         level = shared(
-            level.join(to.withColumnRenamed("v", "source").withColumnRenamed("c", "a"), "source")
-            .join(to.withColumnRenamed("v", "target").withColumnRenamed("c", "b"), "target")
-            .groupBy(F.col("a").alias("source"), F.col("b").alias("target"))
+            level.join(member.select(F.col("v").alias("u"), F.col("c").alias("a")), "u")
+            .join(member.select("v", F.col("c").alias("b")), "v")
+            .groupBy(F.col("a").alias("u"), F.col("b").alias("v"))
             .agg(F.sum("weight").alias("weight"))
         )
-    first = names.groupBy("at").agg(F.min("name").alias("community"))
-    return names.join(first, "at").select("name", "community")
+    else:
+        if total:
+            raise RuntimeError(f"communities did not settle in {MOST_PASSES} passes")
+    first = at.groupBy("at").agg(F.min("number").alias("first"))
+    first = first.join(names.select(F.col("number").alias("first"), F.col("name").alias("community")), "first")
+    return at.join(first, "at").join(names, "number").select("name", "community")
+
+
+def _settled(level: DataFrame, total: float, seed: int) -> tuple[DataFrame, bool]:
+    """v, k, c of each vertex after a pass, and whether any has moved."""
+    degree = shared(level.groupBy(F.col("u").alias("v")).agg(F.sum("weight").alias("k")))
+    member, moved_ever = degree.select("v", "k", F.col("v").alias("c")), False
+    apart = level.where("u <> v")
+    for r in range(MOST_ROUNDS):
+        size = member.groupBy(F.col("c").alias("to")).agg(F.sum("k").alias("size"))
+        links = apart.join(member.select("v", F.col("c").alias("to")), "v").groupBy(F.col("u").alias("v"), "to").agg(F.sum("weight").alias("w"))
+        mine = member.where(F.pmod(F.xxhash64("v", F.lit(seed + 31 * r)), F.lit(2)) == 0)
+        choice = mine.select("v", "k", "c", F.col("c").alias("to"), F.lit(0.0).alias("w")).unionByName(mine.join(links, "v").select("v", "k", "c", "to", "w"))
+        choice = choice.groupBy("v", "k", "c", "to").agg(F.sum("w").alias("w")).join(size, "to")
+        inside = F.when(F.col("to") == F.col("c"), F.col("size") - F.col("k")).otherwise(F.col("size"))
+        gain = F.round(F.col("w") - F.col("k") * inside / F.lit(total), 9)
+        staying = F.max(F.when(F.col("to") == F.col("c"), gain))
+        best = choice.groupBy("v").agg(F.max(F.struct(gain.alias("gain"), (F.col("to") == F.col("c")).alias("stay"), (-F.col("to")).alias("to"))).alias("best"), staying.alias("staying"))
+        best = best.select("v", (-F.col("best.to")).alias("to"), (F.col("best.gain") - F.col("staying")).alias("more"))
+        member = shared(member.join(best, "v", "left").select("v", "k", F.coalesce("to", "c").alias("c"), F.coalesce("more", F.lit(0.0)).alias("more")))
+        more = 2 * (member.agg(F.sum("more")).first()[0] or 0.0) / total
+        member = member.drop("more")
+        moved_ever = moved_ever or more > 0
+        if r and more < LEAST_GAIN:
+            return member, moved_ever
+    raise RuntimeError(f"communities did not settle in {MOST_ROUNDS} rounds")
 
 
 def modularity(edges: DataFrame, communities: DataFrame) -> float:
@@ -282,17 +336,37 @@ def modularity(edges: DataFrame, communities: DataFrame) -> float:
     return inside / total - square / total**2
 
 
+METRICS = {"pagerank": pagerank, "betweenness": betweenness, "community": louvain}
 #: What a run computes, by the name of the choice; an unknown choice counts as all.
 METRIC_SETS = {"all": ("pagerank", "betweenness", "community"), "fast": ("pagerank",), "none": ()}
 
 
 def compute(edges: DataFrame, choice: str = "all") -> dict[str, DataFrame | Exception]:
-    """The chosen metrics; one that fails is its exception and does not keep the others from being computed."""
-    run = {"pagerank": pagerank, "betweenness": betweenness, "community": louvain}
+    """The chosen metrics, computed; one that fails is its exception and does not keep the others from being computed."""
+    out: dict[str, DataFrame | Exception] = {}
+    for name in METRIC_SETS.get(choice, METRIC_SETS["all"]):
+        try:
+            out[name] = shared(METRICS[name](edges))
+        except Exception as e:  # noqa: BLE001  (reported to the caller)
+            out[name] = e
+    return out
+
+
+def over_whole_graph(links: list[DataFrame], choice: str = "all") -> dict[str, DataFrame | Exception]:
+    """The chosen metrics over the union of all relations (source, target), betweenness normalized; callers keep what they need.
+
+    Names must tell the kinds of vertices apart.
+    """
+    edges = None
+    for link in links:
+        one = link.select("source", "target").distinct().withColumn("weight", F.lit(1).cast("long"))
+        edges = one if edges is None else edges.unionByName(one)
+    edges = shared(edges.groupBy("source", "target").agg(F.sum("weight").alias("weight")))
+    run = METRICS | {"betweenness": lambda e: betweenness(e, normalized=True)}
     out: dict[str, DataFrame | Exception] = {}
     for name in METRIC_SETS.get(choice, METRIC_SETS["all"]):
         try:
-            out[name] = run[name](edges)
+            out[name] = shared(run[name](edges))
         except Exception as e:  # noqa: BLE001  (reported to the caller)
             out[name] = e
     return out

@@ -49,10 +49,9 @@ def test_communities_are_the_planted_ones(spark):
     assert alg.modularity(e, got) > 0.5
 
 
-def test_communities_in_rounds_of_joins(spark):
-    e = edges(spark, [p for p in cliques() if "c" not in p[0] + p[1]])
-    got = alg.louvain_rounds(e, passes=1, rounds=4)
-    assert alg.modularity(e, got) > 0.2 and got.count() == 12
+def test_communities_in_one_task_are_the_same_planted_ones(spark):
+    got = alg.louvain_in_one_task(edges(spark, cliques()))
+    assert {r.name: r.community for r in got.collect()} == {f"{c}{i}": f"{c}0" for c in "abc" for i in range(6)}
 
 
 def test_closure_of_a_diamond_and_a_cycle(spark):
