@@ -1,3 +1,3 @@
 """Property-graph analytics over annotated corpora, planned by Catalyst."""
 
-__version__ = "0.1.0"
+__version__ = "0.2.0"

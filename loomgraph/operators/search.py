@@ -22,6 +22,12 @@ def tokens(text: Column, folding: bool = True) -> Column:
     return F.filter(F.split(low, r"[^\p{L}\p{N}_]+"), lambda x: x != "")
 
 
+def weight() -> Column:
+    """BM25 of a term in a document: columns tf, length, df, and over all documents n and mean."""
+    idf = F.log(1 + (F.col("n") - F.col("df") + 0.5) / (F.col("df") + 0.5))
+    return idf * F.col("tf") * (K1 + 1) / (F.col("tf") + K1 * (1 - B + B * F.col("length") / F.col("mean")))
+
+
 def inverted_index(docs: DataFrame, key: str, fields: list[str], folding: bool = True) -> DataFrame:
     """key, term, tf, length: one row per document and term over the named text columns."""
     words = docs.select(key, tokens(F.concat_ws(" ", *fields), folding).alias("words"))
@@ -40,9 +46,7 @@ def bm25(docs: DataFrame, key: str, fields: list[str], query: list[str], k: int
     counts = words.select(key, F.size("words").alias("length"), F.explode(F.filter("words", lambda x: x.isin(wanted))).alias("term")).groupBy(key, "length", "term").agg(F.count(F.lit(1)).alias("tf"))
     df = counts.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
     rows = counts.join(df, "term").join(facts, F.lit(True))
-    idf = F.log(1 + (F.col("n") - F.col("df") + 0.5) / (F.col("df") + 0.5))
-    weight = idf * F.col("tf") * (K1 + 1) / (F.col("tf") + K1 * (1 - B + B * F.col("length") / F.col("mean")))
-    return rows.groupBy(key).agg(F.round(F.sum(weight), 6).alias("score")).orderBy(F.desc("score"), key).limit(k)
+    return rows.groupBy(key).agg(F.round(F.sum(weight()), 6).alias("score")).orderBy(F.desc("score"), key).limit(k)
 
 
 def cosine(a: Column, b: Column) -> Column:
