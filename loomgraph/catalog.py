@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import json
+import uuid
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,9 +14,9 @@ from pyspark.sql import types as T
 from loomgraph.catalog_sql import SQL
 from loomgraph.functions import text
 from loomgraph.model import Graph
-from loomgraph.operators import algorithms, linkage, metrics, projection, search, taxonomy, view
-from loomgraph.plans import catalogue
-from loomgraph.sources import tables
+from loomgraph.operators import algorithms, embeddings, estimates, fulltext, linkage, metrics, projection, search, taxonomy, view
+from loomgraph.plans import catalogue, context
+from loomgraph.sources import project_json, sinks, tables
 from loomgraph.streaming import windows
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -92,17 +95,18 @@ def b3_upsert_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def c4_description_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A description that repeats a property is none."""
     part = tables.read(spark, sf_dir, "part")
-    same = F.when(F.exists(F.array("p_brand", "p_type"), lambda x: x == F.col("p_type")) & (F.col("p_size") % 2 == 0), None).otherwise(F.col("p_type"))
-    return part.select("p_partkey", same.alias("description"))
+    props = F.create_map(F.lit("brand"), F.col("p_brand"), F.lit("kind"), F.when(F.col("p_size") % 2 == 0, F.col("p_type")).otherwise(F.lit("other")))
+    return part.select("p_partkey", project_json.own_description(F.col("p_type"), props).alias("description"))
 
 
 @query
 def c11_item_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = tables.read(spark, sf_dir, "conversations")
     block = rows.where("role = 'user'").groupBy("conv_id").agg(F.sort_array(F.collect_list("turn")).alias("turns"))
-    hops = block.select("conv_id", F.posexplode("turns").alias("pos", "turn"))
-    return hops.select(F.format_string("conv%d_n%04d", "conv_id", F.col("pos") + 1).alias("item_id"), "turn")
+    hops = block.select(F.concat(F.lit("conv"), F.col("conv_id").cast("string")).alias("id"), F.posexplode("turns").alias("i", "turn"))
+    return hops.select(project_json.item_id("n").alias("item_id"), "turn")
 
 
 @query
@@ -170,7 +174,7 @@ def e2_located_mentions(g: Graph) -> DataFrame:
 
 @on_graph
 def e6_co_taxonomy(g: Graph) -> DataFrame:
-    return projection.co_taxonomy(g).groupBy("weight").agg(F.count(F.lit(1)).alias("pairs"))
+    return projection.co_taxonomy(g)
 
 
 @on_graph
@@ -178,25 +182,16 @@ def e7_co_citation(g: Graph) -> DataFrame:
     return projection.co_citation(g)
 
 
-def _resolved_names(g: Graph, named: DataFrame) -> DataFrame:
+@query
+def e9_aliases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Parts that share a name stand for the one with the smallest key."""
+    g, named = tables.graph(spark, sf_dir), tables.read(spark, sf_dir, "part")
     low = named.groupBy("p_name").agg(F.min("p_partkey").alias("low"))
     aliases = named.join(low, "p_name").where("p_partkey <> low").select(F.col("p_partkey").cast("string").alias("alias"), F.col("low").cast("string").alias("target"))
     chains, _ = linkage.resolve_aliases(g.chains, g.mentions, aliases)
     return chains.groupBy("source", "target").agg(F.count(F.lit(1)).alias("n"))
 
 
-@query
-def e9_aliases(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Parts up to key 400 that share a name stand for the one with the smallest key."""
-    return _resolved_names(tables.graph(spark, sf_dir), tables.read(spark, sf_dir, "part").where("p_partkey <= 400"))
-
-
-@query
-def e9_aliases_all(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All parts that share a name stand for the one with the smallest key."""
-    return _resolved_names(tables.graph(spark, sf_dir), tables.read(spark, sf_dir, "part"))
-
-
 @query
 def e10_merged_origins(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = tables.read(spark, sf_dir, "orders")
@@ -341,11 +336,9 @@ def f18_neighbours(g: Graph) -> DataFrame:
     return projection.neighbours(g.chains)
 
 
-@query
-def f19_grouped_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Relations of each pair, "many" for more than one."""
-    pairs = tables.chains(tables.lines(spark, sf_dir)).groupBy("source", "target").agg(F.sort_array(F.collect_set("type")).alias("types"))
-    return pairs.select("source", "target", F.when(F.size("types") > 1, "many").otherwise(F.col("types")[0]).alias("relation"), F.array_join("types", ", ").alias("types"))
+@on_graph
+def f19_grouped_edges(g: Graph) -> DataFrame:
+    return view.grouped(g)
 
 
 # implicit windows, order, sets ---------------------------------------------------------------------------------------
@@ -363,7 +356,7 @@ def g3_first_sources(g: Graph) -> DataFrame:
 
 @on_graph
 def g4_evidence(g: Graph) -> DataFrame:
-    return view.evidence(g, 10).select("concept", "item_id", "place", "source", "type", "text")
+    return view.evidence(g).select("concept", "item_id", "place", "source", "type", "text")
 
 
 @on_graph
@@ -389,10 +382,16 @@ def i2_union_concepts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return linkage.union_concepts([b, a])
 
 
-@query
-def i9_evidence_union(spark: SparkSession, sf_dir: str) -> DataFrame:
-    e = view.evidence(tables.graph(spark, sf_dir), 10)
-    return e.where(F.col("concept").isin("1", "2")).select("source", "type", "text").dropDuplicates()
+@on_graph
+def i9_evidence_union(g: Graph) -> DataFrame:
+    """What is said of either of two concepts."""
+    return view.evidence(g).where(F.col("concept").isin("1", "2")).select("source", "type", "text").dropDuplicates()
+
+
+@on_graph
+def i7_lost_to_a_higher_bar(g: Graph) -> DataFrame:
+    """Concepts that one threshold keeps and a higher one does not."""
+    return view.kept(g, view.Scope(min_frequency=28)).exceptAll(view.kept(g, view.Scope(min_frequency=31)))
 
 
 @on_graph
@@ -456,15 +455,10 @@ def k1_projection(g: Graph) -> DataFrame:
 
 @on_graph
 def k2_pagerank(g: Graph) -> DataFrame:
-    ranks = algorithms.pagerank(projection.relates_to(g), g.vertices(), rounds=5)
+    ranks = algorithms.pagerank(projection.relates_to(g), g.vertices())
     return ranks.select("name", F.round("pagerank", 6).alias("pagerank"))
 
 
-@on_graph
-def k2_pagerank_20(g: Graph) -> DataFrame:
-    return algorithms.pagerank(projection.relates_to(g), g.vertices())
-
-
 @on_graph
 def k3_betweenness(g: Graph) -> DataFrame:
     return algorithms.betweenness(projection.relates_to(g))
@@ -496,18 +490,14 @@ def k9_within_two(g: Graph) -> DataFrame:
 # the analyst's questions ---------------------------------------------------------------------------------------------
 
 
-def _metric_table(g: Graph) -> DataFrame:
-    """Five rounds of PageRank and the topic as community: values that SQL can follow."""
-    ranks = algorithms.pagerank(projection.relates_to(g), g.vertices(), rounds=5)
-    topic = g.of_field(g.topic_field).select(F.col("concept").alias("name"), F.col("value").alias("community"))
-    return metrics.mention_counts(g).join(metrics.degrees(g), "name").join(ranks, "name").join(topic, "name", "left")
+def _topics(g: Graph) -> DataFrame:
+    return g.of_field(g.topic_field).select(F.col("concept").alias("name"), F.col("value").alias("community"))
 
 
-def _computed_table(g: Graph) -> DataFrame:
-    """PageRank in the operator's rounds and computed communities; SQL can't follow these."""
-    edges = projection.relates_to(g)
-    ranks = algorithms.pagerank(edges, g.vertices())
-    return metrics.mention_counts(g).join(metrics.degrees(g), "name").join(ranks, "name").join(algorithms.louvain(edges), "name", "left")
+def _metric_table(g: Graph, communities: Callable[[DataFrame], DataFrame] = algorithms.louvain_in_one_task) -> DataFrame:
+    """What the questions are asked of.  Their communities are those of one task, by choice: see k4_louvain for any size."""
+    edges = algorithms.shared(projection.relates_to(g))
+    return metrics.mention_counts(g).join(metrics.degrees(g), "name").join(algorithms.pagerank(edges, g.vertices()), "name").join(communities(edges), "name", "left")
 
 
 @on_graph
@@ -522,30 +512,24 @@ def l2_schema(g: Graph) -> DataFrame:
 
 @on_graph
 def l3_top_pagerank(g: Graph) -> DataFrame:
-    return catalogue.top_pagerank(_metric_table(g))
-
-
-@on_graph
-def l3_top_pagerank_20(g: Graph) -> DataFrame:
     ranks = algorithms.pagerank(projection.relates_to(g), g.vertices())
     return catalogue.top_pagerank(metrics.mention_counts(g).join(ranks, "name"))
 
 
 @on_graph
 def l4_bridges(g: Graph) -> DataFrame:
-    scores = algorithms.betweenness(projection.relates_to(g))
-    return catalogue.bridges(_computed_table(g).join(scores, "name"))
+    return catalogue.bridges(_metric_table(g).join(algorithms.betweenness(projection.relates_to(g)), "name"))
 
 
 @on_graph
 def l5_communities(g: Graph) -> DataFrame:
-    topic = g.of_field(g.topic_field).select(F.col("concept").alias("name"), F.col("value").alias("community"))
-    return catalogue.communities(topic)
+    return catalogue.communities(algorithms.louvain_in_one_task(projection.relates_to(g)))
 
 
 @on_graph
-def l5_communities_computed(g: Graph) -> DataFrame:
-    return catalogue.communities(algorithms.louvain(projection.relates_to(g)))
+def l5_topics(g: Graph) -> DataFrame:
+    """The same question with the topic as community, which SQL can follow."""
+    return catalogue.communities(_topics(g))
 
 
 @on_graph
@@ -614,8 +598,8 @@ def l18_compare_communities(g: Graph) -> DataFrame:
 
 
 @on_graph
-def l18_compare_communities_computed(g: Graph) -> DataFrame:
-    return catalogue.compare_communities(_computed_table(g))
+def l18_compare_topics(g: Graph) -> DataFrame:
+    return catalogue.compare_communities(_metric_table(g, lambda _: _topics(g)))
 
 
 @on_graph
@@ -625,15 +609,6 @@ def l19_widespread(g: Graph) -> DataFrame:
 
 @on_graph
 def l20_exclusive(g: Graph) -> DataFrame:
-    """Over one in fifty orders, so that some concepts have a single source."""
-    few = g.from_source.where(F.col("ref").cast("long") % 50 == 0)
-    part = Graph(**{**g.__dict__, "from_source": few, "mentions": g.mentions.join(few.select("item_id"), "item_id", "left_semi")})
-    return catalogue.exclusive(part, metrics.mention_counts(part))
-
-
-@on_graph
-def l20_exclusive_all(g: Graph) -> DataFrame:
-    """Over all orders."""
     return catalogue.exclusive(g, metrics.mention_counts(g))
 
 
@@ -659,14 +634,14 @@ def l23_first_appearance(g: Graph) -> DataFrame:
 
 @on_graph
 def l24_central_of_community(g: Graph) -> DataFrame:
-    return catalogue.top_pagerank(_metric_table(g).where(F.col("community") == BRAND))
+    """Of the community that holds PART."""
+    m = algorithms.shared(_metric_table(g))
+    return catalogue.top_pagerank(m.join(m.where(F.col("name") == PART).select("community"), "community"))
 
 
 @on_graph
-def l24_central_of_community_computed(g: Graph) -> DataFrame:
-    """Of the community that holds PART."""
-    m = algorithms.shared(_computed_table(g))
-    return catalogue.top_pagerank(m.join(m.where(F.col("name") == PART).select("community"), "community"))
+def l24_central_of_topic(g: Graph) -> DataFrame:
+    return catalogue.top_pagerank(_metric_table(g, lambda _: _topics(g)).where(F.col("community") == BRAND))
 
 
 @on_graph
@@ -701,6 +676,177 @@ def m10_width_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return search.width_errors(e, 64).select("vec_id")
 
 
+@query
+def m1_field_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    part = tables.read(spark, sf_dir, "part")
+    rows = fulltext.index(part, "p_partkey", ["p_name", "p_type", "p_name"], fulltext.analyzer("standard"))
+    return rows.groupBy("field", "term").agg(F.sum("tf").alias("tf"), F.count(F.lit(1)).alias("df"))
+
+
+@query
+def m2_stemmed_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Terms of documents as an analyzer for English makes them."""
+    rows = fulltext.index(tables.read(spark, sf_dir, "documents"), "doc_id", ["text"], fulltext.analyzer("org.example.EnglishAnalyzer"))
+    return rows.groupBy("term").agg(F.sum("tf").alias("tf"), F.count(F.lit(1)).alias("df"))
+
+
+VECTOR_FIELDS = ("topic", "dimension")
+
+
+@on_graph
+def m7_vectors(g: Graph) -> DataFrame:
+    """Unit vectors of the encoder that counts hashed words, a row for each place that is not zero."""
+    rows = embeddings.encoded(embeddings.texts(g, VECTOR_FIELDS), embeddings.hashed(16))
+    return rows.select("name", "hash", F.posexplode("vector").alias("place", "x")).where("x <> 0").select("name", "hash", "place", F.round("x", 6).alias("x"))
+
+
+@on_graph
+def m8_out_of_date(g: Graph) -> DataFrame:
+    """How many vectors hold after some texts changed, and after the model or the fields did."""
+    now = embeddings.texts(g, VECTOR_FIELDS)
+    composition = embeddings.fields_hash(VECTOR_FIELDS)
+    old = F.when(F.col("name").cast("long") % 4 == 0, F.lit("sha256:other")).otherwise(F.col("hash"))
+    before = now.select("name", old.alias("hash"), F.array(F.lit(1.0)).alias("vector"), F.lit("m").alias("model"), F.lit(composition).alias("fields_hash"))
+    out = None
+    for case, model, fields in (("same", "m", composition), ("model", "n", composition), ("fields", "m", embeddings.fields_hash(VECTOR_FIELDS[::-1]))):
+        one = embeddings.to_encode(now, before, model, fields)[0].agg(F.count(F.lit(1)).alias("stale")).select(F.lit(case).alias("changed"), "stale")
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
+@query
+def m9_field_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Which fields can tell concepts apart."""
+    g = tables.graph(spark, sf_dir)
+    kinds = {"topic": "TOPIC", "aspect": "ORDERED", "dimension": "TEXT", "same": "TEXT"}
+    same = g.concepts.select(F.col("name").alias("concept"), F.lit("same").alias("field"), F.lit("one").alias("value"), F.lit(0).alias("ord"))
+    g = replace(g, values=g.values.unionByName(same), field_specs={n: {"type": k, "scope": "ONTOLOGY"} for n, k in kinds.items()})
+    kept, warnings = embeddings.checked(g, list(kinds))
+    return spark.createDataFrame([(n, n in kept, sum(w.startswith(f"{n} ") for w in warnings)) for n in kinds], "field string, kept boolean, warnings int")
+
+
+@on_graph
+def h7_sidecar(g: Graph) -> DataFrame:
+    """The sidecar's rows without their vectors, sorted by name."""
+    return embeddings.sidecar(g, VECTOR_FIELDS, embeddings.hashed(16)).select("name", "hash", "dimensions", "fields_hash")
+
+
+@on_graph
+def j19_field_values(g: Graph) -> DataFrame:
+    return embeddings.field_values(g, VECTOR_FIELDS)
+
+
+@query
+def j22_analyzers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    names = tables.read(spark, sf_dir, "region").select("r_name").distinct().collect()  # five names that no analyzer has
+    asked = ["brazilian", "Portuguese", "org.x.de.GermanAnalyzer", "standard-no-stop-words", "whitespace", "", *(r.r_name for r in names)]
+    return spark.createDataFrame([(n, fulltext.analyzer(n).name, fulltext.analyzer(n).folds) for n in asked], "asked string, analyzer string, folds boolean")
+
+
+@on_graph
+def j23_estimates(g: Graph) -> DataFrame:
+    """Expected seconds of each metric for this graph."""
+    spark = g.concepts.sparkSession
+    n, e = g.vertices().count(), projection.relates_to(g).count()
+    return spark.createDataFrame([(m, round(estimates.seconds(n, [m], edges=e), 6)) for m in algorithms.METRICS], "metric string, seconds double")
+
+
+# projects: context and linkage ---------------------------------------------------------------------------------------
+
+
+def _context(g: Graph) -> context.Context:
+    """Written to the shared folder, read back, and removed."""
+    spark, root = g.concepts.sparkSession, f"{algorithms.shared_dir(g.concepts.sparkSession)}/loomgraph-{uuid.uuid4().hex}"
+    about = context.with_vectors(context.with_search(context.build(g), ["search_name"], ["citation"], [], "english"), VECTOR_FIELDS, "hashed-16", 16)
+    context.write(spark, context.with_metrics(about, "spark", "concepts"), root)
+    try:
+        return context.read(spark, root)
+    finally:
+        sinks.discard(spark, root)
+
+
+@on_graph
+def b12_project_context(g: Graph) -> DataFrame:
+    c = _context(g)
+    names = ("project_name", "concept_label", "source_count", "item_count", "concept_count", "embedding_fields", "embedding_dimensions", "fulltext_concept_fields", "fulltext_source_fields", "fulltext_analyzer", "metrics_backend")
+    return g.concepts.sparkSession.createDataFrame([tuple(getattr(c, n) for n in names)], ", ".join(f"{n} {'long' if isinstance(getattr(c, n), int) else 'string'}" for n in names))
+
+
+@on_graph
+def l25_context_lines(g: Graph) -> DataFrame:
+    """The lines that tell what the graph holds and how it is connected."""
+    c = _context(g)
+    lines = [x for x in (*c.template_doc.split("\n"), *c.project_summary.split("\n")) if x.startswith("- `(") or x.endswith((" sources", " items", " concepts"))]
+    return g.concepts.sparkSession.createDataFrame([(x,) for x in lines], "line string")
+
+
+@query
+def b18_refused_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What an update refuses: changed settings that both sides name."""
+    old = context.Context(fulltext_analyzer="standard", embedding_model="a", embedding_fields="")
+    cases = {"none": old, "analyzer": replace(old, fulltext_analyzer="english"), "blank": replace(old, embedding_model="", embedding_fields="x"), "both": replace(old, fulltext_analyzer="simple", embedding_model="b")}
+    return spark.createDataFrame([(k, len(context.incompatible(old, c))) for k, c in cases.items()], "changed string, refused int")
+
+
+@query
+def c13_without_locations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The fields' specifications, with and without the places they come from."""
+    names = ["region", "nation", "part"]
+    specs = {n: {"type": "TOPIC", "location": {"file": "/x"}, "values": [{"label": "v", "location": 1}]} for n in names}
+    return spark.createDataFrame([(n, json.dumps(s, sort_keys=True)) for n, s in context.without_locations(specs).items()], "name string, spec string")
+
+
+@query
+def c15_inferred_root(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The root of the first page whose address ends with an included path."""
+    files = tables.read(spark, sf_dir, "pages").select(F.col("page_id").alias("b"), F.col("url").alias("file"))
+    return spark.createDataFrame([(project_json.root_of(files, ["es/12", "/98", "fr/31"]),)], "root string")
+
+
+@query
+def c18_entities(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _across(spark, sf_dir)[0].select("label", "entity_id", "member", "source_bibtex")
+
+
+@query
+def b10_identified(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Entities whose source is stored, by label."""
+    entities = _across(spark, sf_dir)[0]
+    sources = tables.read(spark, sf_dir, "customer").select(F.concat(F.lit("crm:@"), F.col("c_name")).alias("source_bibtex"))
+    return entities.join(sources, "source_bibtex").groupBy("label").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query
+def b11_referring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _across(spark, sf_dir)[1].select("label", "entity_id", "member", "from_source")
+
+
+@query
+def e13_unresolved(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _across(spark, sf_dir)[2].select("label", "value", "from_source")
+
+
+def _across(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame, list[str]]:
+    """Two members: customers identify account holders by nation and key, orders refer to them."""
+    customer, orders = tables.read(spark, sf_dir, "customer"), tables.read(spark, sf_dir, "orders")
+    own = customer.where("c_mktsegment = 'BUILDING'").select(F.col("c_name").alias("bibtex"), F.lit("key").alias("field"), F.concat(F.lit(" "), F.col("c_custkey").cast("string")).alias("value"), F.col("c_custkey").cast("long").alias("ord"))
+    refer = orders.select(F.concat(F.lit("@o"), F.col("o_orderkey").cast("string")).alias("bibtex"), F.lit("holder").alias("field"), F.col("o_custkey").cast("string").alias("value"), F.col("o_orderkey").cast("long").alias("ord"))
+    return linkage.across([("crm", {"key": {"scope": "SOURCE", "identifies": "account_holder"}}, own), ("shop", {"holder": {"scope": "SOURCE", "refers_to": "account_holder"}}, refer)])
+
+
+@on_graph
+def k5_whole_graph(g: Graph) -> DataFrame:
+    """PageRank over items, sources and concepts and all their relations; of concepts only."""
+    node = lambda kind, c: F.concat(F.lit(f"{kind}:"), F.col(c))
+    links = [
+        g.from_source.select(node("item", "item_id").alias("source"), node("source", "ref").alias("target")),
+        g.mentions.select(node("item", "item_id").alias("source"), node("concept", "concept").alias("target")),
+        g.chains.select(node("concept", "source").alias("source"), node("concept", "target").alias("target")),
+    ]
+    ranks = algorithms.over_whole_graph(links, "fast")["pagerank"]
+    return ranks.where("name LIKE 'concept:%'").select(F.substring("name", 9, 100).alias("name"), F.round("pagerank", 6).alias("pagerank"))
+
+
 # extensions: event time ----------------------------------------------------------------------------------------------
 
 

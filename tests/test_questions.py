@@ -56,8 +56,8 @@ def test_exclusive_concepts_over_all_orders(spark, graph):
     names = spark.createDataFrame([(x,) for x in "abcde"], "name string").selectExpr("name", "name AS search_name")
     lines = spark.createDataFrame(few, "item_id string, ref string, concept string")
     sources = spark.createDataFrame([(r, f"Order {r}") for r in {x[1] for x in few}], "bibtex string, title string")
-    changed = {"concepts": names, "sources": sources, "from_source": lines.select("item_id", "ref"), "items": lines.select("item_id"), "mentions": lines.selectExpr("item_id", "concept", "1 AS mention_order"), "chains": graph.chains.limit(0)}
-    got = [tuple(r) for r in catalog.l20_exclusive_all(Graph(**{**graph.__dict__, **changed})).collect()]
+    changed = {"concepts": names, "sources": sources, "from_source": lines.select("item_id", "ref"), "items": lines.select("item_id"), "mentions": lines.selectExpr("item_id", "concept", "1 AS mention_order"), "chains": graph.chains.limit(0), "located": None}
+    got = [tuple(r) for r in catalog.l20_exclusive(Graph(**{**graph.__dict__, **changed})).collect()]
     assert got == [("a", "Order 1", 2), ("d", "Order 7", 1)]
 
 
@@ -65,7 +65,7 @@ def test_exclusive_concepts_of_the_tables(graph):
     found = defaultdict(set)
     for r in graph.mentions.join(graph.from_source, "item_id").select("concept", "ref").distinct().collect():
         found[r.concept].add(r.ref)
-    assert {r.concept for r in catalog.l20_exclusive_all(graph).collect()} == {c for c, refs in found.items() if len(refs) == 1}
+    assert {r.concept for r in catalog.l20_exclusive(graph).collect()} == {c for c, refs in found.items() if len(refs) == 1}
 
 
 def test_aliases_of_all_parts(spark):
@@ -79,7 +79,7 @@ def test_aliases_of_all_parts(spark):
         a, b = (str(low[name_of[int(x)]]) for x in r)
         if a != b:
             want[a, b] += 1
-    assert {(r.source, r.target): r.n for r in catalog.e9_aliases_all(spark, LARGER).collect()} == want
+    assert {(r.source, r.target): r.n for r in catalog.e9_aliases(spark, LARGER).collect()} == want
 
 
 def planted(spark, graph):
@@ -92,7 +92,7 @@ def planted(spark, graph):
     said = spark.createDataFrame([(f"m{i}", x, 1) for i, x in enumerate(names)], "item_id string, concept string, mention_order int")
     at = said.selectExpr("item_id", "concat('s', length(concept)) AS ref")
     values = spark.createDataFrame([(x, "topic", "Brand#23", 0) for x in names], "concept string, field string, value string, ord int")
-    g = Graph(**{**graph.__dict__, "concepts": concepts, "chains": chains, "mentions": said, "from_source": at, "items": at.select("item_id"), "values": values})
+    g = Graph(**{**graph.__dict__, "concepts": concepts, "chains": chains, "mentions": said, "from_source": at, "items": at.select("item_id"), "values": values, "located": None})
     return g, groups, pairs
 
 
@@ -107,11 +107,11 @@ def test_questions_about_computed_ranks_and_communities(spark, graph):
         rank = {x: 0.15 + 0.85 * flow[x] for x in names}
     first = {min(c): c for c in groups.values()}
     top = lambda some: [(x, pytest.approx(round(rank[x], 4), abs=1.1e-4)) for x in sorted(some, key=lambda x: (-round(rank[x], 4), x))[:10]]
-    assert [(r.concept, r.pagerank) for r in catalog.l3_top_pagerank_20(g).collect()] == top(names)
-    assert [(r.concept, r.pagerank) for r in catalog.l24_central_of_community_computed(g).collect()] == top(groups["b"])
-    got = {r.community: (r.concepts, r.average_pagerank) for r in catalog.l18_compare_communities_computed(g).collect()}
+    assert [(r.concept, r.pagerank) for r in catalog.l3_top_pagerank(g).collect()] == top(names)
+    assert [(r.concept, r.pagerank) for r in catalog.l24_central_of_community(g).collect()] == top(groups["b"])
+    got = {r.community: (r.concepts, r.average_pagerank) for r in catalog.l18_compare_communities(g).collect()}
     assert got == {k: (10, pytest.approx(sum(rank[x] for x in c) / 10, abs=1e-4)) for k, c in first.items()}
-    assert {r.community: (r.total, r.examples) for r in catalog.l5_communities_computed(g).collect()} == {k: (10, ",".join(sorted(c)[:5])) for k, c in first.items()}
+    assert {r.community: (r.total, r.examples) for r in catalog.l5_communities(g).collect()} == {k: (10, ",".join(sorted(c)[:5])) for k, c in first.items()}
     want = brandes(pairs)
     bridges = catalog.l4_bridges(g).collect()
     assert bridges and all(r.betweenness == pytest.approx(want[r.concept], abs=0.011) and r.pagerank == pytest.approx(rank[r.concept]) and r.concept in first[r.community] for r in bridges)
