@@ -8,13 +8,12 @@ The model is fitted on a bounded sample: about ``SAMPLE`` training rows in all,
 Features are computed where the texts lie; the driver gets one half-precision row of ``BUCKETS`` numbers a sampled text.
 
 Defined results: null texts and texts without a letter are ``und`` with score 0; without any labelled row all are; with
-one language every text with a letter is that; texts are whole however long; repeated rows give equal results.
+one language every text with a letter is that; ill-formed bytes are no letters; texts are whole however long; repeated rows give equal results.
 """
 
 from __future__ import annotations
 
 import math
-import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -23,26 +22,28 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loomgraph.llm.common import bounded_batches, chunks, octets
+from loomgraph.llm.common import chunks, discard, octets, shown_text, sliced
 from loomgraph.llm.samples import is_held_out, sampled
 
 SAMPLE = 4000
 LEAST_PER_LANGUAGE = 50
+#: More languages than this are taken for a fault in the labels; it bounds the sample (20,000 rows) and the codes.
+LANGUAGES = 400
 BUCKETS = 4096
 CHUNK = 1 << 20
 EPOCHS = 15
 AMBIGUOUS = 0.2
 
 _FOLD = bytes(c + 32 if 65 <= c <= 90 else c if c >= 128 or 97 <= c <= 122 else 32 for c in range(256))
-_LETTER = re.compile(r"[^\W\d_]")
 
 
 def has_letter(text: bytes | None) -> bool:
+    """Whether any character is of Unicode's category L; numbers such as fractions and Roman numerals are not."""
     if not text:
         return False
     if text.isascii():
         return any(x != 32 for x in text[:64].translate(_FOLD)) or bool(text.translate(_FOLD).strip())
-    return bool(_LETTER.search(text.decode()))
+    return any(c.isalpha() for c in shown_text(text))
 
 
 def features(texts: list[bytes | None]) -> np.ndarray:
@@ -162,19 +163,21 @@ def learned(rows: np.ndarray, labels: np.ndarray, languages: list[str]) -> Model
 def fitted(docs: DataFrame) -> Model:
     """Learns from text and lang of the rows that are not held out."""
     spark = docs.sparkSession
-    bounded_batches(spark)
     train = docs.where(~is_held_out(F.col("doc_id"))).select("doc_id", F.col("lang").cast("string").alias("label")).where("label is not null")
-    languages = sorted(r.label for r in train.select("label").distinct().collect())
+    languages = sorted(r.label for r in train.select("label").distinct().limit(LANGUAGES + 1).collect())
+    if len(languages) > LANGUAGES:
+        raise ValueError(f"lang has over {LANGUAGES} values, such as {', '.join(languages[:5])}")
     if not languages:
         return learned(np.zeros((0, BUCKETS)), np.zeros(0, int), [])
-    sample = sampled(docs.where(~is_held_out(F.col("doc_id"))), train, max(LEAST_PER_LANGUAGE, SAMPLE // len(languages)))
+    sample, path = sampled(docs.where(~is_held_out(F.col("doc_id"))), train, max(LEAST_PER_LANGUAGE, SAMPLE // len(languages)))
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in sliced(batches):
             x = features(octets(b.column("text"))).astype(np.float16)
             yield pa.RecordBatch.from_arrays([b.column("doc_id").cast(pa.string()), b.column("label"), pa.array([r.tobytes() for r in x], pa.binary())], names=["doc_id", "label", "x"])
 
     got = sorted(sample.mapInArrow(rows, "doc_id string, label string, x binary").collect())
+    discard(spark, path)
     at = {name: i for i, name in enumerate(languages)}
     x = np.stack([np.frombuffer(r.x, np.float16) for r in got]) if got else np.zeros((0, BUCKETS), np.float16)
     return learned(x, np.array([at[r.label] for r in got], int), languages)
@@ -187,7 +190,7 @@ def predictions(docs: DataFrame, model: Model | None = None) -> DataFrame:
     narrow = docs.select("doc_id", is_held_out(F.col("doc_id")).alias("held_out"), F.col("text").cast("string").alias("text"))
 
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in sliced(batches):
             names, scores, unsure = shared.value.predict(octets(b.column("text")))
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("held_out"), pa.array(names, pa.string()), pa.array(scores, pa.float64()), pa.array(unsure, pa.bool_())], names=["doc_id", "held_out", "lang_pred", "score", "ambiguous"])
 

@@ -6,34 +6,36 @@ is the mean of its words' vectors, rarer words weighing more.  A two-layer numpy
 temperature, fitted on a part of the sample that the network has not seen, turns logits into calibrated probabilities.
 
 Words are white-space tokens.  What their letters hide is added as further words: the shape of each token without its
-lower-case letters (capitals, digits and marks only), a word for each token that repeats the one before it, and one for
-each token of the text.  Vocabulary and vectors come from the sample (``SAMPLE`` documents of each label at most,
-``VOCABULARY`` words); the model is a few MB whatever the corpus.
+lower-case letters (capitals, digits and marks only), and a word for each token that repeats the one before it.  The
+``VOCABULARY`` commonest words that ``LEAST_DOCUMENTS`` documents of the sample have get a vector each; all other words,
+also those that the sample lacks, share ``RARE`` vectors by hash.  So every word of every text counts, in training as in
+scoring, and the model is a few MB whatever the corpus.  Only the sample is bounded: ``SAMPLE`` documents of each label.
 
 Defined results: null and empty texts are scored as texts without words; without labels of both kinds every score is the
 share of label 1 in the sample (0.5 without any); a document labelled more than once counts by the majority, 1 in a tie;
-whole texts are read however long; repeated rows give equal results.
+whole texts are read however long; repeated rows give equal results; other columns may have any names.
 """
 
 from __future__ import annotations
 
 import operator
+import zlib
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
-from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loomgraph.llm.common import bounded_batches, chunks, octets
+from loomgraph.llm.common import chunks, discard, octets, sliced
 from loomgraph.llm.samples import is_held_out, sampled
 
 SAMPLE = 2000
 VOCABULARY = 20_000
 LEAST_DOCUMENTS = 3
+RARE = 4096
 WIDTH = 128
 ONES = 8
 HIDDEN = 32
@@ -44,23 +46,31 @@ CHUNK = 4 << 20
 #: Capitals count as A and digits as 0; lower-case letters and non-ASCII bytes go.
 _SHAPE = bytes(65 if 65 <= c <= 90 else 48 if 48 <= c <= 57 else c for c in range(256))
 _PLAIN = bytes([*range(97, 123), *range(128, 256)])
-_AGAIN, _ANY = b"\x00again", b"\x00any"
+_AGAIN = b"\x00again"
 
 
 def words_of(text: bytes | None) -> Counter:
     """Every word of the text with its count, the added ones too."""
     tokens = (text or b"").split()
     out = Counter(tokens)
-    for shape, n in Counter(t for t in (text or b"").translate(_SHAPE, _PLAIN).split()).items():
+    for shape, n in Counter((text or b"").translate(_SHAPE, _PLAIN).split()).items():
         out[b"\x00" + shape] = n
     again = sum(map(operator.eq, tokens, tokens[1:]))
     if again:
         out[_AGAIN] = again
-    if tokens:
-        out[_ANY] = len(tokens)
     return out
 
 
+class Numbers(dict):
+    """Words to rows of the vectors, from 0; words of no row of their own share the ``RARE`` rows behind, by hash."""
+
+    def __missing__(self, word: bytes) -> int:
+        return len(self) + zlib.crc32(word) % RARE
+
+    def __reduce__(self):
+        return Numbers, (dict(self),)
+
+
 def index_vectors(n: int, seed: int) -> np.ndarray:
     """n sparse random vectors of ``ONES`` entries +1 or -1."""
     rng = np.random.default_rng(seed)
@@ -72,26 +82,25 @@ def index_vectors(n: int, seed: int) -> np.ndarray:
 
 @dataclass
 class Model:
-    vocabulary: dict[bytes, int] = field(default_factory=dict)
-    vectors: np.ndarray = field(default_factory=lambda: np.zeros((1, WIDTH), np.float32))
+    vocabulary: Numbers = field(default_factory=Numbers)
+    vectors: np.ndarray = field(default_factory=lambda: np.zeros((RARE, WIDTH), np.float32))
     layers: tuple | None = None
     temperature: float = 1.0
     prior: float = 0.5
 
     def pooled(self, texts: list[bytes | None]) -> np.ndarray:
-        """The mean of each text's word vectors; words that the sample lacks count only through their added words."""
-        get = self.vocabulary.get
+        """The mean of each text's word vectors, over its tokens."""
+        number = self.vocabulary.__getitem__
         out = np.zeros((len(texts), WIDTH), np.float32)
         for a, b in chunks(texts, lambda t: len(t or b""), CHUNK):
             ids, owner, total = [], [], []
             for t in texts[a:b]:
                 tokens = (t or b"").split()
-                mine = [*map(get, tokens, repeat(0))]
+                mine = [*map(number, tokens)]
                 for shape, n in Counter((t or b"").translate(_SHAPE, _PLAIN).split()).items():
-                    if k := get(b"\x00" + shape):
-                        mine += [k] * n
+                    mine += [number(b"\x00" + shape)] * n
                 if again := sum(map(operator.eq, tokens, tokens[1:])):
-                    mine += [get(_AGAIN, 0)] * again
+                    mine += [number(_AGAIN)] * again
                 total.append(max(1, len(tokens)))
                 ids.append(np.array(mine, np.int64))
                 owner.append(np.full(len(mine), len(total) - 1))
@@ -156,11 +165,10 @@ def labels_of(labels: DataFrame) -> DataFrame:
 
 def fitted(docs: DataFrame, labels: DataFrame) -> Model:
     spark = docs.sparkSession
-    bounded_batches(spark)
-    sample = sampled(docs, labels_of(labels), SAMPLE)
+    sample, path = sampled(docs, labels_of(labels), SAMPLE)
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in sliced(batches):
             rows = [words_of(t) for t in octets(b.column("text"))]
             yield pa.RecordBatch.from_arrays([pa.array([list(r) for r in rows], pa.list_(pa.binary()))], names=["words"])
 
@@ -174,25 +182,30 @@ def fitted(docs: DataFrame, labels: DataFrame) -> Model:
         .limit(VOCABULARY)
         .collect()
     )
-    vocabulary = {bytes(r.word): i + 1 for i, r in enumerate(frequent)}
+    vocabulary = Numbers({bytes(r.word): i for i, r in enumerate(frequent)})
     shared = spark.sparkContext.broadcast(vocabulary)
 
     def sparse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = shared.value
-        for b in batches:
-            ids, counts = [], []
+        number = shared.value
+        for b in sliced(batches):
+            ids, counts, total = [], [], []
             for t in octets(b.column("text")):
-                pairs = sorted((known[w], n) for w, n in words_of(t).items() if w in known)
+                summed: Counter = Counter()
+                for w, n in words_of(t).items():
+                    summed[number[w]] += n
+                pairs = sorted(summed.items())
                 ids.append(np.array([p[0] for p in pairs], np.int32).tobytes())
                 counts.append(np.array([p[1] for p in pairs], np.int32).tobytes())
-            yield pa.RecordBatch.from_arrays([b.column("doc_id").cast(pa.string()), b.column("label").cast(pa.int32()), pa.array(ids, pa.binary()), pa.array(counts, pa.binary())], names=["doc_id", "label", "ids", "counts"])
+                total.append(max(1, len((t or b"").split())))
+            yield pa.RecordBatch.from_arrays([b.column("doc_id").cast(pa.string()), b.column("label").cast(pa.int32()), pa.array(ids, pa.binary()), pa.array(counts, pa.binary()), pa.array(total, pa.int64())], names=["doc_id", "label", "ids", "counts", "total"])
 
-    rows = sorted(sample.mapInArrow(sparse, "doc_id string, label int, ids binary, counts binary").collect())
+    rows = sorted(sample.mapInArrow(sparse, "doc_id string, label int, ids binary, counts binary, total bigint").collect())
+    discard(spark, path)
     y = np.array([r.label for r in rows], np.float32)
     if len(set(y.tolist())) < 2:
         return Model(prior=float(y.mean()) if len(y) else 0.5)
-    contexts, vectors = index_vectors(len(rows), 1), np.zeros((len(vocabulary) + 1, WIDTH), np.float32)
-    documents = np.zeros(len(vocabulary) + 1)
+    contexts, vectors = index_vectors(len(rows), 1), np.zeros((len(vocabulary) + RARE, WIDTH), np.float32)
+    documents = np.zeros(len(vectors))
     parsed = [(np.frombuffer(r.ids, np.int32), np.frombuffer(r.counts, np.int32)) for r in rows]
     for i, (ids, counts) in enumerate(parsed):
         vectors[ids] += np.log1p(counts)[:, None].astype(np.float32) * contexts[i]
@@ -200,11 +213,8 @@ def fitted(docs: DataFrame, labels: DataFrame) -> Model:
     norm = np.linalg.norm(vectors, axis=1, keepdims=True)
     vectors = vectors / np.where(norm > 0, norm, 1) + index_vectors(len(vectors), 2) / ONES**0.5
     vectors *= np.log1p(len(rows) / np.maximum(1, documents))[:, None]
-    vectors[0] = 0
     model = Model(vocabulary, vectors.astype(np.float32))
-    total = np.array([max(1, int(counts[np.flatnonzero(ids == vocabulary.get(_ANY, -1))].sum())) for ids, counts in parsed])
-    any_word = vocabulary.get(_ANY, -1)
-    x = np.stack([counts[ids != any_word].astype(np.float32) @ model.vectors[ids[ids != any_word]] / n for (ids, counts), n in zip(parsed, total, strict=True)])
+    x = np.stack([counts.astype(np.float32) @ model.vectors[ids] / r.total for (ids, counts), r in zip(parsed, rows, strict=True)])
     model.layers, model.temperature = network(x, y)
     return model
 
@@ -216,7 +226,7 @@ def scored(docs: DataFrame, labels: DataFrame, model: Model | None = None) -> Da
     narrow = docs.select("doc_id", is_held_out(F.col("doc_id")).alias("held_out"), F.col("text").cast("string").alias("text"))
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in sliced(batches):
             p = shared.value.scores(octets(b.column("text")))
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("held_out"), pa.array(p, pa.float64()), pa.array((p >= THRESHOLD).astype(np.int32))], names=["doc_id", "held_out", "score", "predicted"])
 
@@ -230,7 +240,7 @@ def accepted(docs: DataFrame, labels: DataFrame, model: Model | None = None) ->
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in sliced(batches):
             yield b.filter(pa.array(shared.value.scores(octets(b.column("text"))) >= THRESHOLD, pa.bool_()))
 
     return docs.mapInArrow(keep, docs.schema)

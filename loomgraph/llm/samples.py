@@ -18,11 +18,12 @@ def is_held_out(doc_id: Column) -> Column:
     return fold_of(doc_id) == 2
 
 
-def sampled(docs: DataFrame, labelled: DataFrame, per_label: int) -> DataFrame:
-    """Texts and labels of at most ``per_label`` documents of each label, in hash order.
+def sampled(docs: DataFrame, labelled: DataFrame, per_label: int) -> tuple[DataFrame, str]:
+    """doc_id, label and text of at most ``per_label`` documents of each label, in hash order.
 
     labelled: doc_id, label.  Only ids are ranked, and of those only the ones whose hash is so low that about twice as many
-    as wanted remain of each label, however many there are.  The counts are a row a label, which any classifier must hold.
+    as wanted remain of each label, however many there are.  The counts are a row a label, which any classifier must hold;
+    callers bound the labels.  The sample is written; its folder comes along, to be discarded once the model is fitted.
     """
     span = 1 << 31
     hashed = labelled.select("doc_id", "label", F.pmod(F.xxhash64("doc_id", F.lit(5)), F.lit(span)).alias("draw"))
@@ -33,4 +34,4 @@ def sampled(docs: DataFrame, labelled: DataFrame, per_label: int) -> DataFrame:
     texts = docs.select("doc_id", F.col("text").cast("string").alias("text")).where("text is not null")
     chosen = texts.join(F.broadcast(ids), "doc_id")
     once = chosen.withColumn("copy", F.row_number().over(W.partitionBy("doc_id").orderBy(F.xxhash64("text")))).where("copy = 1").drop("copy")
-    return written(once, "sample")[0]
+    return written(once, "sample")

@@ -6,10 +6,16 @@ into the compressor; the bytes that it adds, a byte of its own each if nothing i
 add at least ``NOVELTY`` of their length are reported unless a pattern has them already.  A run of NAME=value is judged by
 its values, a name with a value behind it (token_value) by what follows the sensitive word; either may hold the word itself.
 
+What is measured is set by ``Scan``: a candidate has ``least`` characters or more, begins at most ``reach`` characters behind
+a sensitive word, and is set beside ``around`` characters on either side.  It needs a letter and a digit as long as
+``mixed`` holds: of sixteen letters that no dictionary has, compression cannot tell whether they are a key or a long word
+(internationalization adds all of its twenty bytes).
+
 Texts are read where they lie; nothing is shuffled.  Cheap byte searches decide which patterns a text needs.
 
-Defined results: null text is empty; without spans the strings are empty (and the hash that of the empty string); runs
-and contexts are whole, however long the text; rows are judged one by one, so repeated rows give equal results.
+Defined results: null text is empty; without spans the strings are empty (and the hash that of the empty string); texts
+and runs are whole, however long; ill-formed UTF-8 counts as replacement characters; rows are judged one by one, so
+repeated rows give equal results; other columns may have any names.
 """
 
 from __future__ import annotations
@@ -18,13 +24,14 @@ import bisect
 import hashlib
 import re
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loomgraph.llm.common import bounded_batches, octets
+from loomgraph.llm.common import octets, shown_text, sliced
 
 KINDS = ("assign", "access", "hex", "novel")
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.A | re.I)
@@ -36,17 +43,25 @@ ASSIGN_WORDS = (b"password", b"passwd", b"secret", b"token", b"apikey", b"api_ke
 #: Words that make the text behind them sensitive, and how far behind them (fixed values).
 SENSITIVE = ("secret", "token", "passw", "passphrase", "credential", "private", "apikey", "api_key", "api-key", "access_key", "access-key", "auth", "bearer", "signature", "session", "cookie", "webhook", "client_id", "connectionstring")
 SENSITIVE_WORD = re.compile("|".join(map(re.escape, SENSITIVE)), re.A | re.I)
-REACH = 64
-LEAST_RUN = 16
 RUN = re.compile(r"[A-Za-z0-9+/_~=-]{16,}")
 #: What inner equals signs leave of a run; those at its end are padding.
 PIECE = re.compile(r"[A-Za-z0-9+/_~-]+(?:=+(?![A-Za-z0-9+/_~=-]))?")
 #: Between a sensitive word and a value within a run, and words of a name that may follow there.
 JOINT, NAME_WORDS = re.compile(r"[+/_~-]*"), re.compile(r"(?:[A-Za-z]+[+/_~-]+)*")
-AROUND = 600
-NOVELTY = 0.7
 LEVEL = 12
 
+
+@dataclass(frozen=True)
+class Scan:
+    reach: int = 64
+    around: int = 600
+    least: int = 16
+    mixed: bool = True
+    novelty: float = 0.7
+
+
+SCAN = Scan()
+
 #: Identifiers and phrases of code and configuration that prime the dictionary (fixed values).
 IDENTIFIERS = """
 abstract account address admin allow alias api application argument array assert async attribute author authorization available await
@@ -116,7 +131,7 @@ def base_spans(raw: bytes, text: str) -> list[tuple[int, int, int, int]]:
 _SENSITIVE_BYTES = tuple(w.encode() for w in SENSITIVE)
 
 
-def novel_spans(raw: bytes, text: str, known: list[tuple[int, int, int, int]]) -> list[tuple[int, int, int, int]]:
+def novel_spans(raw: bytes, text: str, known: list[tuple[int, int, int, int]], scan: Scan = SCAN) -> list[tuple[int, int, int, int]]:
     low = raw.lower()
     if not any(w in low for w in _SENSITIVE_BYTES):
         return []
@@ -132,16 +147,16 @@ def novel_spans(raw: bytes, text: str, known: list[tuple[int, int, int, int]]) -
 
     def near(s: int) -> bool:
         i = bisect.bisect_right(ends, s) - 1
-        return i >= 0 and s - ends[i] <= REACH
+        return i >= 0 and s - ends[i] <= scan.reach
 
     def novel(s: int, e: int) -> bool:
         run = text[s:e]
-        if len(run) < LEAST_RUN or not (re.search("[0-9]", run) and re.search("[A-Za-z]", run)):
+        if len(run) < scan.least or scan.mixed and not (re.search("[0-9]", run) and re.search("[A-Za-z]", run)):
             return False
         j = bisect.bisect_right(starts, s) - 1
         if j >= 0 and furthest[j] > s or j + 1 < len(starts) and starts[j + 1] < e:
             return False
-        return novelty(text[max(0, s - AROUND) : s], run, text[e : e + AROUND]) >= NOVELTY
+        return novelty(text[max(0, s - scan.around) : s], run, text[e : e + scan.around]) >= scan.novelty
 
     def behind(s: int, e: int) -> int | None:
         """Where a value begins behind the first sensitive word that ends within the piece, and not within a word."""
@@ -154,12 +169,12 @@ def novel_spans(raw: bytes, text: str, known: list[tuple[int, int, int, int]]) -
     for m in RUN.finditer(text):
         s, e = m.span()
         here = bisect.bisect_left(ends, e)
-        if not here or s - ends[here - 1] > REACH:
+        if not here or s - ends[here - 1] > scan.reach:
             continue
         found = []
         for piece in PIECE.finditer(text, s, e):
             ps, pe = piece.span()
-            if pe - ps >= LEAST_RUN:
+            if pe - ps >= scan.least:
                 v = ps if near(ps) and novel(ps, pe) else behind(ps, pe)
                 found += [] if v is None else [(v, 3, pe, v)]
         if not found and near(s) and novel(s, e):
@@ -168,15 +183,15 @@ def novel_spans(raw: bytes, text: str, known: list[tuple[int, int, int, int]]) -
     return out
 
 
-def spans_of(raw: bytes | None) -> tuple[list[tuple[int, int, int, int]], list[tuple[int, int, int, int]]]:
+def spans_of(raw: bytes | None, scan: Scan = SCAN) -> tuple[list[tuple[int, int, int, int]], list[tuple[int, int, int, int]]]:
     """Spans of the fixed patterns, and all spans, both by start and kind."""
     if not raw:
         return [], []
     if not (suspicious(raw)):
         return [], []
-    text = raw.decode()
+    text = shown_text(raw)
     base = base_spans(raw, text)
-    return base, sorted(base + novel_spans(raw, text, base))
+    return base, sorted(base + novel_spans(raw, text, base, scan))
 
 
 def suspicious(raw: bytes) -> bool:
@@ -188,30 +203,29 @@ def shown(spans: list[tuple[int, int, int, int]]) -> str:
     return ",".join(f"{KINDS[k]}:{s}:{e}" for s, k, e, _ in spans)
 
 
-def _found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for b in batches:
-        both = [spans_of(t) for t in octets(b.column("text"))]
-        count = lambda kind: pa.array([sum(s[1] == kind for s in every) for _, every in both], pa.int64())
-        yield pa.RecordBatch.from_arrays(
-            [b.column("doc_id"), count(0), count(1), count(2), count(3), pa.array([hashlib.sha256(shown(base).encode()).hexdigest() for base, _ in both], pa.string()), pa.array([shown(every) for _, every in both], pa.string())],
-            names=["doc_id", "n_assign", "n_access", "n_hex", "n_novel", "base_sha256", "spans"],
-        )
-
-
-def findings(docs: DataFrame) -> DataFrame:
+def findings(docs: DataFrame, scan: Scan = SCAN) -> DataFrame:
     """doc_id, n_assign, n_access, n_hex, n_novel, base_sha256, spans ("kind:start:end", code points, comma-joined)."""
-    bounded_batches(docs.sparkSession)
     narrow = docs.select("doc_id", F.col("text").cast("string").alias("text"))
     kind = narrow.schema["doc_id"].dataType.simpleString()
-    return narrow.mapInArrow(_found, f"doc_id {kind}, n_assign bigint, n_access bigint, n_hex bigint, n_novel bigint, base_sha256 string, spans string")
+
+    def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in sliced(batches):
+            both = [spans_of(t, scan) for t in octets(b.column("text"))]
+            count = lambda kind: pa.array([sum(s[1] == kind for s in every) for _, every in both], pa.int64())
+            yield pa.RecordBatch.from_arrays(
+                [b.column("doc_id"), count(0), count(1), count(2), count(3), pa.array([hashlib.sha256(shown(base).encode()).hexdigest() for base, _ in both], pa.string()), pa.array([shown(every) for _, every in both], pa.string())],
+                names=["doc_id", "n_assign", "n_access", "n_hex", "n_novel", "base_sha256", "spans"],
+            )
+
+    return narrow.mapInArrow(found, f"doc_id {kind}, n_assign bigint, n_access bigint, n_hex bigint, n_novel bigint, base_sha256 string, spans string")
 
 
-def redacted(raw: bytes | None, mark: str = "[SECRET]") -> bytes | None:
+def redacted(raw: bytes | None, mark: str = "[SECRET]", scan: Scan = SCAN) -> bytes | None:
     """The text with the secrets themselves, not the names they are assigned to, replaced by a mark."""
-    _, spans = spans_of(raw)
+    _, spans = spans_of(raw, scan)
     if not spans:
         return raw
-    text, out, at = raw.decode(), [], 0
+    text, out, at = shown_text(raw), [], 0
     for s, e in sorted((v, e) for _, _, e, v in spans):
         if s >= at:
             out += [text[at:s], mark]
@@ -219,19 +233,18 @@ def redacted(raw: bytes | None, mark: str = "[SECRET]") -> bytes | None:
     return "".join([*out, text[at:]]).encode()
 
 
-def scrubbed(docs: DataFrame, mark: str = "[SECRET]") -> DataFrame:
+def scrubbed(docs: DataFrame, mark: str = "[SECRET]", scan: Scan = SCAN) -> DataFrame:
     """docs with secrets replaced in ``text``; ``n_chars``, if there is one, is counted anew for changed texts."""
-    bounded_batches(docs.sparkSession)
 
     def scrub(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in sliced(batches):
             texts = octets(b.column("text"))
-            new = [redacted(t, mark) for t in texts]
+            new = [redacted(t, mark, scan) for t in texts]
             columns = {name: b.column(i) for i, name in enumerate(b.schema.names)}
-            columns["text"] = pa.array(new, pa.binary()).cast(pa.string())
+            columns["text"] = pa.array(new, pa.binary()).view(pa.string())
             if "n_chars" in columns:
                 held = columns["n_chars"].to_pylist()
-                columns["n_chars"] = pa.array([h if x is y else len(y.decode()) for h, x, y in zip(held, texts, new, strict=True)], columns["n_chars"].type)
+                columns["n_chars"] = pa.array([h if x is y else len(shown_text(y)) for h, x, y in zip(held, texts, new, strict=True)], columns["n_chars"].type)
             yield pa.RecordBatch.from_arrays(list(columns.values()), names=list(columns))
 
     return docs.mapInArrow(scrub, docs.schema)
