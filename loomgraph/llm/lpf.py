@@ -1,10 +1,10 @@
 """Cross-document removal of repeated byte strings with longest-previous-factor arrays.
 
-A byte goes if a ``LENGTH``-byte string that covers it also starts in a document with a smaller doc_id.  In the order of
-suffixes, the nearest suffix from a smaller document before or after a suffix shares its longest earlier match with it
-(the previous and the next smaller position); where that match, the previous factor, reaches ``LENGTH`` bytes, the later
-copy goes and the first stays.  Only whether it reaches that length counts, so suffixes are cut there, equal ones are
-ordered by document, and the previous smaller position is the head of the run.
+A byte goes if a ``LENGTH``-byte string that covers it also starts in a document with a smaller doc_id.  Suffixes are
+sorted, neighbours in that order have a longest common prefix, and the nearest suffix of a smaller document before or after
+a suffix (the previous and the next smaller position) shares the longest earlier match with it: the larger of the two least
+common prefixes on the way is its longest previous factor.  Where that reaches ``LENGTH`` bytes, so many bytes of the later
+copy go, and the first stays.
 
 One suffix array over a corpus fits no machine, so suffixes are dealt to shards that can be sorted alone:
 
@@ -14,12 +14,16 @@ One suffix array over a corpus fits no machine, so suffixes are dealt to shards
 * Minimizers that occur in one document only cannot be part of a match.  A first pass ships four bytes for each distinct
   minimizer of a chunk and gets back a bit: whether another chunk has it.  Segments of other minimizers never move.
 * Equal segments are one: a chunk sends the one of its smallest document, the shard sorts the suffixes of distinct
-  segments only, and the later copies of a segment are removed whole.
+  segments only, and the later copies of a segment are removed whole.  Segments are found equal by a hash and then
+  compared byte by byte.
 
 Texts are packed once into compressed chunks in the shared folder, bucketed by chunk, so that no later step moves them.
+The result is written there too, and the chunks are removed.
 
 Defined results: null texts are empty; texts shorter than ``LENGTH`` bytes keep all; documents with a null doc_id neither
 lose bytes nor cause losses; rows with equal doc_ids do not match each other; long texts are cut into overlapping pieces.
+doc_id is a whole number or null (other types are cast to long, and what is no number raises); other columns may have any
+names; empty input, empty output.
 """
 
 from __future__ import annotations
@@ -36,15 +40,13 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loomgraph.llm.common import bounded_batches, octets, shared_path, shuffle_width
+from loomgraph.llm.common import discard, octets, shared_path, shuffle_width, written
 
 LENGTH = 50
 GRAM = 16
 #: Bytes of text in a chunk, and of those hashed at once, which take about sixty times as much memory.
 CHUNK = 2 << 20
 PIECE = 1 << 19
-#: Chunks in an Arrow batch.
-ROWS = 16
 #: Bytes of text for each task that a shard's segments come from.
 SHARD_BYTES = 6 << 20
 #: Windows that are sorted at once, whole minimizers at a time.
@@ -200,18 +202,17 @@ def _packing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield row()
 
 
-def packed(docs: DataFrame) -> tuple[DataFrame, int]:
-    """Chunks of texts in a bucketed table of the shared folder, and the bytes of all texts."""
+def packed(docs: DataFrame) -> tuple[str, str, int]:
+    """The name and folder of a bucketed table with chunks of texts, and the bytes of all texts."""
     spark = docs.sparkSession
-    bounded_batches(spark)
     narrow = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     chunks = narrow.mapInArrow(_packing, "chunk bigint, ids array<bigint>, sizes array<bigint>, data binary")
     name = f"loomgraph_chunks_{uuid.uuid4().hex}"
     buckets = max(shuffle_width(spark), 1)
-    chunks.write.format("parquet").option("compression", "none").option("parquet.block.size", 8 << 20).option("path", shared_path(spark, "chunks")).bucketBy(buckets, "chunk").saveAsTable(name)
-    out = spark.table(name)
-    total = out.select(F.explode("sizes").alias("n")).agg(F.sum("n")).first()[0]
-    return out, int(total or 0)
+    path = shared_path(spark, "chunks")
+    chunks.write.format("parquet").option("compression", "none").option("parquet.block.size", 8 << 20).option("path", path).bucketBy(buckets, "chunk").saveAsTable(name)
+    total = spark.table(name).select(F.explode("sizes").alias("n")).agg(F.sum("n")).first()[0]
+    return name, path, int(total or 0)
 
 
 def _chunks(batch: pa.RecordBatch) -> Iterator[tuple[int, Chunk]]:
@@ -297,6 +298,36 @@ def _gathered(data: np.ndarray, start: np.ndarray, size: np.ndarray) -> np.ndarr
 _LOCAL = -1
 
 
+def _wide(data: np.ndarray, width: int) -> np.ndarray:
+    """For every place the ``width`` bytes from there on; zeros follow the end."""
+    return np.lib.stride_tricks.as_strided(np.append(data, np.zeros(width, np.uint8)), (len(data) + 1, width), (1, 1))
+
+
+def kinds(names: np.ndarray, content: np.ndarray, doc: np.ndarray, start: np.ndarray, size: np.ndarray, data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """An order of segments by minimizer, content and document, and where in it a content begins.
+
+    Segments of one minimizer whose contents' hashes are equal count as equal once their bytes are; those that differ from
+    the first of them in spite of the hash get another one.
+    """
+    wide = _wide(data, int(size.max())) if len(size) else None
+    while True:
+        order = np.lexsort((start, doc, content, names))
+        a, b = names[order], content[order]
+        fresh = np.append(True, (a[1:] != a[:-1]) | (b[1:] != b[:-1]))[: len(a)]
+        lead = order[np.flatnonzero(fresh)][np.cumsum(fresh) - 1] if len(a) else order
+        wrong = size[order] != size[lead]
+        check = np.flatnonzero(~fresh & ~wrong)
+        for i in range(0, len(check), 1 << 16):
+            k = check[i : i + (1 << 16)]
+            x, y = order[k], lead[k]
+            inside = np.arange(wide.shape[1]) < size[x][:, None]
+            wrong[k] = ((wide[at[x]] != wide[at[y]]) & inside).any(axis=1)
+        if not wrong.any():
+            return order, fresh
+        content = content.copy()
+        content[order[wrong]] += U(1)
+
+
 def _segments(bits: int):
     """The segments whose minimizers another document has, by bucket; what the chunk itself can remove goes to bucket -1."""
 
@@ -307,7 +338,7 @@ def _segments(bits: int):
             for i, (chunk, held) in enumerate(_chunks(b)):
                 h, start, size, content, doc = held.segments()
                 names = _names(h, bits)
-                order = np.lexsort((start, doc, content, names))
+                order = np.argsort(names, kind="stable")
                 names, start, size, content, doc = (x[order] for x in (names, start, size, content, doc))
                 head = np.append(True, names[1:] != names[:-1])[: len(names)]
                 group = np.cumsum(head) - 1
@@ -321,7 +352,8 @@ def _segments(bits: int):
                     known |= np.minimum.reduceat(doc, first) != np.maximum.reduceat(doc, first)
                 keep = known[group]
                 names, start, size, content, doc = (x[keep] for x in (names, start, size, content, doc))
-                fresh = np.append(True, (names[1:] != names[:-1]) | (content[1:] != content[:-1]))[: len(names)]
+                order, fresh = kinds(names, content, doc, start, size, held.data, start)
+                names, start, size, doc = (x[order] for x in (names, start, size, doc))
                 lowest = doc[np.flatnonzero(fresh)][np.cumsum(fresh) - 1] if len(doc) else doc
                 later = doc > lowest
                 rows = [(_LOCAL - chunk % 4096, chunk, _cover(start[later], size[later]))] if later.any() else []
@@ -337,20 +369,18 @@ def _segments(bits: int):
 
 
 def earlier_windows(data: np.ndarray, start: np.ndarray, size: np.ndarray, doc: np.ndarray) -> np.ndarray:
-    """For every window of the given stretches, whether its longest previous factor reaches LENGTH.
-
-    Suffixes cut at LENGTH are sorted, equal ones by document; then the previous smaller position of a suffix, if its
-    match reaches LENGTH, is the head of the run of equal ones, and its document is smaller or the same.
-    """
+    """For every window of the given stretches, its longest previous factor within its stretch, 0 below LENGTH."""
     n = size - LENGTH + 1
     owner = np.repeat(np.arange(len(n), dtype=np.int32), n)
-    at = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n - start, n)
-    out = np.zeros(len(owner), bool)
+    offset = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+    at, rest = offset + start[owner], size[owner] - offset
+    out = np.zeros(len(owner), np.int64)
     parts = -(-len(owner) // SORTED)
     if parts < 2:
-        out[:] = _later(data, at, doc[owner])
+        out[:] = previous_factors(data, at, rest, doc[owner], LENGTH)
         return out
-    # too many for one array: equal windows agree in three of their words, so shares by these words can be sorted alone
+    # too many for one array: windows with a match of LENGTH bytes agree in three of their words, so shares by these words
+    # hold all such matches
     words = np.lib.stride_tricks.as_strided(data, (len(data) - 7, 8), (1, 1))
     share = np.zeros(len(owner), np.uint64)
     for k in (0, 21, LENGTH - 8):
@@ -358,23 +388,51 @@ def earlier_windows(data: np.ndarray, start: np.ndarray, size: np.ndarray, doc:
     share = (share % U(parts)).astype(np.int32)
     for k in range(parts):
         mine = np.flatnonzero(share == k)
-        out[mine] = _later(data, at[mine], doc[owner[mine]])
+        out[mine] = previous_factors(data, at[mine], rest[mine], doc[owner[mine]], LENGTH)
     return out
 
 
-def _later(data: np.ndarray, at: np.ndarray, doc: np.ndarray) -> np.ndarray:
-    """For the windows at the given places, whether a smaller document has the same one."""
-    view = np.lib.stride_tricks.as_strided(data, (max(0, len(data) - LENGTH + 1), LENGTH), (1, 1))
-    by_doc = np.argsort(doc, kind="stable")
-    suffixes = np.ascontiguousarray(view[at[by_doc]]).view(f"S{LENGTH}").ravel()
-    order = np.argsort(suffixes, kind="stable")
-    suffixes = suffixes[order]
-    head = np.append(True, suffixes[1:] != suffixes[:-1])[: len(suffixes)]
-    suffix_array = by_doc[order]
-    own = doc[suffix_array]
-    out = np.zeros(len(at), bool)
-    if len(at):
-        out[suffix_array] = own[np.flatnonzero(head)][np.cumsum(head) - 1] < own
+def previous_factors(data: np.ndarray, at: np.ndarray, rest: np.ndarray, doc: np.ndarray, floor: int = 1) -> np.ndarray:
+    """Of suffixes with ``rest`` bytes from ``at`` on, the longest prefix that a suffix of a smaller document shares.
+
+    Values below ``floor`` are given as 0.
+    """
+    out = np.zeros(len(at), np.int64)
+    if not len(at):
+        return out
+    by_doc = np.lexsort((doc, rest))  # of suffixes alike but for zeros at the end, the shorter comes first
+    width = int(rest.max())
+    rows = _wide(data, width)[at[by_doc]]
+    rows[np.arange(width) >= rest[by_doc][:, None]] = 0
+    order = np.argsort(rows.view(f"S{width}").ravel(), kind="stable")
+    suffix_array, rows = by_doc[order], rows[order]
+    own, left = doc[suffix_array], rest[suffix_array]
+    common = np.zeros(len(at), np.int64)
+    for i in range(1, len(at), 1 << 16):
+        apart = rows[i : i + (1 << 16)] != rows[i - 1 : i - 1 + len(rows[i : i + (1 << 16)])]
+        common[i : i + (1 << 16)] = np.where(apart.any(axis=1), apart.argmax(axis=1), width)
+    common[1:] = np.minimum(common[1:], np.minimum(left[1:], left[:-1]))
+    after = smaller_before(own[::-1], np.append(0, common[1:][::-1]), floor)[::-1]
+    out[suffix_array] = np.maximum(smaller_before(own, common, floor), after)
+    return out
+
+
+def smaller_before(own: np.ndarray, common: np.ndarray, floor: int) -> np.ndarray:
+    """For each place the least ``common`` on the way to the nearest place before it with a smaller ``own``; 0 below floor.
+
+    common: of each place and the one before it.  All places look one step back; those that find nothing smaller take over
+    how far the place they looked at has looked, so that steps double.
+    """
+    before, least = np.arange(len(own)) - 1, common.copy()
+    out = np.zeros(len(own), np.int64)
+    open_ = np.flatnonzero(least >= floor)
+    while len(open_):
+        there = before[open_]
+        done = own[there] < own[open_]
+        out[open_[done]] = least[open_[done]]
+        open_, there = open_[~done], there[~done]
+        least[open_], before[open_] = np.minimum(least[open_], least[there]), before[there]
+        open_ = open_[least[open_] >= floor]
     return out
 
 
@@ -395,9 +453,8 @@ def contents(data: np.ndarray, at: np.ndarray, size: np.ndarray) -> np.ndarray:
 
 def covered(names: np.ndarray, content: np.ndarray, doc: np.ndarray, start: np.ndarray, size: np.ndarray, data: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Of a shard's segments: the row, begin and length of the stretches to remove.  at: where a segment's bytes are."""
-    order = np.lexsort((doc, content, names))
-    name, text, own = names[order], content[order], doc[order]
-    fresh = np.append(True, (name[1:] != name[:-1]) | (text[1:] != text[:-1]))[: len(name)]
+    order, fresh = kinds(names, content, doc, start, size, data, at)
+    own = doc[order]
     kind = np.cumsum(fresh) - 1
     lead = order[np.flatnonzero(fresh)]
     whole = own > doc[lead][kind] if len(kind) else np.zeros(0, bool)
@@ -422,7 +479,9 @@ def covered(names: np.ndarray, content: np.ndarray, doc: np.ndarray, start: np.n
         n = size[seg] - LENGTH + 1
         owner = np.repeat(np.arange(len(seg)), n)
         offset = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-        first, last = _runs(earlier_windows(data, at[seg], size[seg], doc[seg]), owner)
+        factor = earlier_windows(data, at[seg], size[seg], doc[seg])
+        first, last = _runs(factor > 0, owner)
+        reach = np.maximum.reduceat(np.append(offset + factor, 0), np.stack([first, last + 1], 1).ravel())[::2] if len(first) else first
         # the same flags hold for every segment of that content in the leading document
         for a, b in _shares(part, first_of, owner[first]):
             rec = order[b]
@@ -430,7 +489,7 @@ def covered(names: np.ndarray, content: np.ndarray, doc: np.ndarray, start: np.n
             a, rec = a[mine], rec[mine]
             rows.append(rec)
             begin.append(start[rec] + offset[first[a]])
-            length.append(last[a] - first[a] + LENGTH)
+            length.append(reach[a] - offset[first[a]])
         s = e
     return np.concatenate(rows), np.concatenate(begin), np.concatenate(length)
 
@@ -507,15 +566,19 @@ def _applied(kept_text: bool):
 def deduplicated(docs: DataFrame, kept_text: bool = False) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256, and on demand the remaining bytes themselves as ``kept``."""
     spark: SparkSession = docs.sparkSession
-    chunks, total = packed(docs)
-    tasks = max(shuffle_width(spark), math.ceil(total / SHARD_BYTES))
-    bits = max(8, math.ceil(math.log2(4 * tasks)))
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ROWS))
-    minimizers = chunks.mapInArrow(_minimizers(bits), _SHIPPED_DDL)
-    told = minimizers.repartition(tasks, "bucket").mapInArrow(_shared_bits, _SHIPPED_DDL)
-    told = told.groupBy("chunk").agg(F.collect_list(F.struct("bucket", "data")).alias("bits"))
-    shipped = chunks.join(told.hint("shuffle_hash"), "chunk", "left").mapInArrow(_segments(bits), _SHIPPED_DDL)
-    covers = shipped.repartition(tasks, "bucket").mapInArrow(_removals, "chunk bigint, data binary")
-    covers = covers.groupBy("chunk").agg(F.collect_list("data").alias("covers"))
-    ddl = "doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string" + ", kept binary" * kept_text
-    return chunks.join(covers.hint("shuffle_hash"), "chunk", "left").mapInArrow(_applied(kept_text), ddl)
+    name, path, total = packed(docs)
+    try:
+        chunks = spark.table(name)
+        tasks = max(shuffle_width(spark), math.ceil(total / SHARD_BYTES))
+        bits = max(8, math.ceil(math.log2(4 * tasks)))
+        minimizers = chunks.mapInArrow(_minimizers(bits), _SHIPPED_DDL)
+        told = minimizers.repartition(tasks, "bucket").mapInArrow(_shared_bits, _SHIPPED_DDL)
+        told = told.groupBy("chunk").agg(F.collect_list(F.struct("bucket", "data")).alias("bits"))
+        shipped = chunks.join(told.hint("shuffle_hash"), "chunk", "left").mapInArrow(_segments(bits), _SHIPPED_DDL)
+        covers = shipped.repartition(tasks, "bucket").mapInArrow(_removals, "chunk bigint, data binary")
+        covers = covers.groupBy("chunk").agg(F.collect_list("data").alias("covers"))
+        ddl = "doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string" + ", kept binary" * kept_text
+        return written(chunks.join(covers.hint("shuffle_hash"), "chunk", "left").mapInArrow(_applied(kept_text), ddl), "kept")[0]
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+        discard(spark, path)

@@ -1,6 +1,7 @@
 import hashlib
 import random
 
+import numpy as np
 import pytest
 
 from loomgraph.llm import lpf
@@ -67,8 +68,6 @@ def test_shard_against_every_window(monkeypatch):
     for seed in range(6):
         docs = [(d, t) for d, t in corpus(seed, 60) if d is not None]
         want = {}
-        import numpy as np
-
         parts = []
         raw = b"".join((t or "").encode() for _, t in docs)
         starts = np.append(0, np.cumsum([len((t or "").encode()) for _, t in docs]))
@@ -103,3 +102,52 @@ def test_chunks_and_shards_without_anything_to_remove(spark):
     assert [r.n_removed for r in lpf.deduplicated(alone).collect()] == [0, 0]
     equal = spark.createDataFrame([(9, "z" * 300), (9, "z" * 300)], "doc_id long, text string").repartition(2)
     assert [r.n_removed for r in lpf.deduplicated(equal).collect()] == [0, 0]
+
+
+def test_previous_factors_against_all_pairs():
+    rng = random.Random(4)
+    for floor, letters in ((1, "ab"), (3, "ab"), (1, "abc\x00"), (50, "ab")):
+        texts = ["".join(rng.choice(letters) for _ in range(rng.randrange(1, 40))) for _ in range(12)]
+        if floor == 50:
+            texts += [t * 8 for t in texts] + ["ab" * 70, "ab" * 70, "a" * 90, "a" * 91]
+        docs = [rng.randrange(6) for _ in texts]
+        data = np.frombuffer("".join(texts).encode(), np.uint8)
+        at, rest, doc, shown = [], [], [], []
+        for t, d, s in zip(texts, docs, np.cumsum([0, *map(len, texts)]), strict=False):
+            for i in range(len(t)):
+                at.append(s + i)
+                rest.append(len(t) - i)
+                doc.append(d)
+                shown.append(t[i:])
+
+        def shared(a, b):
+            return next((i for i, (x, y) in enumerate(zip(a, b, strict=False)) if x != y), min(len(a), len(b)))
+
+        want = [max((shared(a, b) for b, e in zip(shown, doc, strict=True) if e < d), default=0) for a, d in zip(shown, doc, strict=True)]
+        got = lpf.previous_factors(data, np.array(at), np.array(rest), np.array(doc), floor)
+        assert got.tolist() == [w if w >= floor else 0 for w in want]
+
+
+def test_equal_hashes_of_different_segments_are_told_apart():
+    texts = ["x" * 60 + "a", "x" * 60 + "b", "x" * 60 + "a", "y" * 50, "x" * 60 + "c"]
+    data, size = np.frombuffer("".join(texts).encode(), np.uint8), np.array([len(t) for t in texts])
+    at = np.cumsum(size) - size
+    order, fresh = lpf.kinds(np.ones(5, np.uint64), np.full(5, 9, np.uint64), np.arange(5), at, size, data, at)
+    groups = {}
+    for k, i in zip(np.cumsum(fresh), order, strict=True):
+        groups.setdefault(k, set()).add(texts[i])
+    assert sorted(map(sorted, groups.values())) == sorted([t] for t in set(texts))
+
+
+def test_nothing_is_left_behind(spark):
+    before = {t.name for t in spark.catalog.listTables()}
+    lpf.deduplicated(spark.createDataFrame([(1, "some text")], "doc_id long, text string")).collect()
+    assert {t.name for t in spark.catalog.listTables()} == before
+
+
+def test_texts_over_a_chunk(spark):
+    rng = random.Random(8)
+    long = "".join(rng.choice("abcdefgh ") for _ in range(lpf.CHUNK + 70_000))
+    docs = [(1, long), (2, "start " + long[100:9_000] + " mid " + long[-600:]), (3, long)]
+    got = {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans) for r in lpf.deduplicated(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
+    assert got == {1: (len(long), 0, 0), 2: (len(docs[1][1]), 8_900 + 600, 2), 3: (len(long), len(long), 1)}
