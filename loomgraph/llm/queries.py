@@ -36,7 +36,7 @@ def op6_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return chat.by_neighbours(table(spark, sf_dir, "conversations"))
+    return chat.by_replies(table(spark, sf_dir, "conversations"))
 
 
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
