@@ -2,6 +2,7 @@ import hashlib
 import random
 import re
 
+import numpy as np
 import pytest
 
 from loomgraph.llm import decontam
@@ -83,3 +84,53 @@ def test_clean_judges_each_row_by_its_text(spark, monkeypatch, block):
     b = spark.createDataFrame([(1, "a b c"), (2, "d e f g h i j"), (3, "k l m n o p q")], "item_id long, text string")
     got = sorted(map(tuple, decontam.clean(d, b).collect()), key=str)
     assert got == sorted([(None, "other words"), (1, "clean words"), (2, None), (None, None)], key=str)
+
+
+def brute_longest(text, items):
+    w, best = words(text), 0
+    for _, t in items:
+        x = words(t)
+        k = min(13, len(x))
+        for i in range(len(x) - k + 1 if x else 0):
+            for j in range(len(w) - k + 1):
+                n = 0
+                while i + n < len(x) and j + n < len(w) and x[i + n] == w[j + n]:
+                    n += 1
+                best = max(best, n if n >= k else 0)
+    return best
+
+
+@pytest.mark.parametrize("rows", [2_000_000, 3])
+def test_longest_match_against_brute_force(monkeypatch, rows):
+    monkeypatch.setattr(decontam, "CHAIN_ROWS", rows)
+    docs, items = made(9)
+    shared = " ".join(f"s{i}" for i in range(30))
+    items += [(200 + i, f"{shared} own{i} {shared}") for i in range(20)] + [(300, " ".join(f"s{i}" for i in range(10, 60)))]
+    docs += [(400, shared + " own3 " + shared), (401, "x " + " ".join(f"s{i}" for i in range(5, 45))), (402, shared + " " + shared)]
+    probe = decontam.Probe([("null" if i is None else str(i), (t or "").encode()) for i, t in items if t is not None])
+    follow = decontam.Chains(probe, rows)
+    got = list(decontam.scan_texts([t.encode() if t is not None else None for _, t in docs[:20] + docs[-7:] if t != docs[63][1]], probe, follow))
+    want = [brute_longest(t, items) for _, t in docs[:20] + docs[-7:] if t != docs[63][1]]
+    assert [x[3] for x in got] == want
+    assert max(want) == 61
+
+
+def test_windows_that_many_items_have_cost_one_match():
+    text = " ".join(f"b{i}" for i in range(50))
+    probe = decontam.Probe([(str(i), f"{text} tail{i}".encode()) for i in range(500)])
+    ids = [probe.vocab[w] for w in decontam.words_of(text.encode())]
+    at, _ = decontam.search(np.array(ids + [0] * 13, np.uint32), probe)
+    assert len(at) == 50 - 12
+    (n, spans, items, longest), = decontam.scan_texts([text.encode()], probe)
+    assert (n, spans, len(items), longest) == (50, [(0, 50)], 500, 50)
+
+
+def test_texts_over_a_shard_and_clashing_names(spark):
+    item = " ".join(f"w{i}" for i in range(20))
+    long = "filler text " * 400_000 + item + " end"  # over SHARD_BYTES, unpatched
+    docs = spark.createDataFrame([(1, long, "a", 1), (2, item, "b", 2), (2, item, "b", 2)], "doc_id long, text string, text_sha256 string, hits int")
+    bench = spark.createDataFrame([(1, item)], "item_id long, text string")
+    got = sorted((r.doc_id, r.n_words, r.n_hit, r.longest_match, r.contaminated) for r in decontam.contamination(docs, bench).collect())
+    assert got == [(1, 800_021, 20, 20, False), (2, 20, 20, 20, True), (2, 20, 20, 20, True)]
+    kept = decontam.clean(docs, bench)
+    assert kept.columns == docs.columns and [r.doc_id for r in kept.collect()] == [1]
