@@ -61,3 +61,38 @@ def test_every_vector_has_one_leaf_in_every_tree(n):
         assert np.abs(np.bincount(leaf[:, t], minlength=len(tree.sizes)) - tree.sizes).max() <= 2
     for pairs in forest.visited(x[:3], 1 << 60):
         assert sorted(pairs) == [(t, i) for t, tree in enumerate(forest.trees) for i in range(len(tree.sizes))]
+
+
+def test_best_in_leaves_against_brute_force():
+    rng = np.random.default_rng(5)
+    v = rng.integers(-2, 3, size=(400, 5)).astype(float)  # many ties
+    low, leaf = rng.permutation(400), rng.integers(0, 9, 400)
+    q = rng.integers(-2, 3, size=(30, 5)).astype(float)
+    wish = [np.flatnonzero(rng.random(9) < 0.6) for _ in q]
+    pairs = np.repeat(np.arange(30), [len(w) for w in wish]), np.concatenate(wish)
+    i, j, s = ann.best_in_leaves(q, pairs, v, leaf, low, 10)
+    for n in range(30):
+        own = [(-float((q[n] * v[x]).sum()), low[x]) for x in range(400) if leaf[x] in wish[n]]
+        assert [(-a, low[b]) for a, b in zip(s[i == n], j[i == n], strict=True)] == sorted(own)[:11]
+
+
+@pytest.mark.parametrize("clustered", [False, True])
+def test_recall_over_a_table_above_the_sample(spark, monkeypatch, clustered):
+    """Leaves of several sampled vectors, shards in parts, queries in blocks: whole results, at the production k."""
+    monkeypatch.setattr(ann, "SAMPLE", 1500)
+    monkeypatch.setattr(ann, "LEAF", 64)
+    monkeypatch.setattr(ann, "SHARD_ROWS", 150)
+    monkeypatch.setattr(ann, "QUERY_ROWS", 20)
+    rng = np.random.default_rng(7)
+    v = rng.normal(size=(6000, 24))
+    if clustered:
+        v = rng.normal(size=(40, 24))[rng.integers(0, 40, 6000)] + 0.3 * v
+        v[1000:3000] = v[1000] + 0.01 * v[1000:3000]  # a third of all in one place
+    docs = spark.createDataFrame([(i, x.tolist(), 0, 0) for i, x in enumerate(v)], "vec_id long, embedding array<double>, score int, tree int")
+    got = ann.nearest(docs).toPandas()
+    score = v[::20] @ v.T
+    score[np.arange(300), np.arange(0, 6000, 20)] = -np.inf
+    truth = np.argsort(-score, axis=1, kind="stable")[:, : ann.K]
+    assert len(got) == 300 * ann.K and got.groupby("query_id")["rank"].apply(lambda r: sorted(r) == list(range(1, 21))).all()
+    hits = sum(len(set(g.vec_id) & set(truth[q // 20])) for q, g in got.groupby("query_id"))
+    assert hits / (300 * ann.K) >= 0.9
