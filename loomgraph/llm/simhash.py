@@ -23,11 +23,11 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from loomgraph.llm.common import bounded_batches, checkpointed, octets, shuffle_width
+from loomgraph.llm.common import BROADCAST_ROWS, checkpointed, fresh_name, octets, shuffle_width, sliced, with_facts
 from loomgraph.llm.components import components, spanning
 
 SHINGLE = 4
@@ -157,14 +157,14 @@ def links_of(keys: np.ndarray, prints: np.ndarray) -> tuple[np.ndarray, np.ndarr
 
 
 def _fingerprints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for b in batches:
+    for b in sliced(batches):
         prints = np.array([fingerprint(t) for t in octets(b.column("text"))], np.uint64).view(np.int64)
         keep = [i for i, name in enumerate(b.schema.names) if name != "text"]
         yield pa.RecordBatch.from_arrays([*(b.column(i) for i in keep), pa.array(prints)], names=[*(b.schema.names[i] for i in keep), "fp"])
 
 
 def _keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for b in batches:
+    for b in sliced(batches):
         prints = b.column("fp").to_numpy(zero_copy_only=False).view(np.uint64)
         keys, rows = golay_keys(prints)
         yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(prints[rows].view(np.int64))], names=["key", "fp"])
@@ -172,7 +172,7 @@ def _keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     keys, prints = [np.zeros(0, np.int32)], [np.zeros(0, np.int64)]
-    for b in batches:
+    for b in sliced(batches):
         keys.append(b.column("key").to_numpy(zero_copy_only=False))
         prints.append(b.column("fp").to_numpy(zero_copy_only=False))
     u, v = links_of(np.concatenate(keys), np.concatenate(prints).view(np.uint64))
@@ -182,7 +182,6 @@ def _linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def fingerprints(docs: DataFrame) -> DataFrame:
     """docs with their texts replaced by the fingerprint ``fp`` (the 64 bits as a signed long)."""
-    bounded_batches(docs.sparkSession)
     fields = [f for f in docs.schema.fields if f.name != "text"]
     return docs.mapInArrow(_fingerprints, T.StructType([*fields, T.StructField("fp", T.LongType())]))
 
@@ -198,30 +197,54 @@ def print_components(prints: DataFrame) -> DataFrame:
     return components(links).withColumnRenamed("u", "fp")
 
 
+def _rooted(prints: DataFrame, what: Column, name: str) -> DataFrame:
+    """fp, root, n (rows) and the least ``what`` of each distinct fingerprint."""
+    per = prints.groupBy("fp").agg(F.min(what).alias(name), F.count(F.lit(1)).alias("n"))
+    return checkpointed(per.join(print_components(per), "fp", "left").select("fp", name, "n", F.coalesce("root", "fp").alias("root")))
+
+
+def _of_component(rooted: DataFrame, name: str, least: str) -> DataFrame:
+    """rooted with ``least``, the least ``name`` of its component; a component may hold any share of the fingerprints."""
+    best = rooted.groupBy(F.col("root").alias("of_root")).agg(F.min(name).alias(least), F.count(F.lit(1)).alias("m")).where("m > 1")
+    return with_facts(rooted, best, "root", "of_root", "m", "left").withColumn(least, F.coalesce(least, name))
+
+
 def near_duplicates(docs: DataFrame) -> DataFrame:
-    """doc_id, fingerprint (16 hex digits), component_id; one row per row of docs."""
+    """doc_id, fingerprint (16 hex digits), component_id; one row per row of docs.
+
+    Only what is not alone is joined: components of several fingerprints, and fingerprints of several rows.
+    """
     narrow = docs.select("doc_id", F.col("text").cast("string").alias("text"))
     prints = checkpointed(fingerprints(narrow))
-    per = prints.groupBy("fp").agg(F.min("doc_id").alias("low"))
-    rooted = per.join(print_components(per), "fp", "left").select("fp", "low", F.coalesce("root", "fp").alias("root"))
-    smallest = rooted.groupBy("root").agg(F.min("low").alias("component_id"))
-    of = rooted.join(smallest, "root").select("fp", "component_id")
-    return prints.join(of, "fp").select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+    of = _of_component(_rooted(prints, F.col("doc_id"), "low"), "low", "component_id")
+    of = of.where((F.col("n") > 1) | ~F.col("component_id").eqNullSafe(F.col("low"))).select(F.col("fp").alias("of_fp"), "component_id", "n")
+    return with_facts(prints, of, "fp", "of_fp", "n", "left").select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), F.coalesce("component_id", "doc_id").alias("component_id"))
 
 
 def representatives(docs: DataFrame) -> DataFrame:
-    """One document of each component, with all its columns: the one with the smallest doc_id (nulls last)."""
-    key = F.xxhash64(docs["doc_id"].cast("string"), docs["text"].cast("string"))
-    narrow = docs.select(F.col("doc_id"), F.col("text").cast("string").alias("text"), key.alias("row_key"))
+    """One document of each component, with all its columns: the one with the smallest doc_id (nulls last).
+
+    Rows are known by doc_id and a hash of their text; of rows alike in both one stays.  Only the rows that go are worked
+    out and taken away from docs, by a broadcast where they are few; other columns of docs may have any names.
+    """
+    narrow = docs.select("doc_id", F.col("text").cast("string").alias("text")).withColumn("row_key", F.xxhash64("doc_id", "text"))
     prints = checkpointed(fingerprints(narrow))
     pick = F.struct(F.col("doc_id").isNull().alias("no_id"), F.col("doc_id").alias("doc_id"), F.col("row_key").alias("row_key"))
-    per = prints.groupBy("fp").agg(F.min(pick).alias("pick"))
-    rooted = per.join(print_components(per), "fp", "left").select("pick", F.coalesce("root", "fp").alias("root"))
-    kept = checkpointed(rooted.groupBy("root").agg(F.min("pick").alias("pick")).select(F.col("pick.doc_id").alias("kept_id"), F.col("pick.row_key").alias("kept_key")))
-    same = (docs["doc_id"].eqNullSafe(F.col("kept_id"))) & (key == F.col("kept_key"))
-    out = docs.join(kept.hint("shuffle_hash"), same, "left_semi")
-    repeats = prints.groupBy("doc_id", "row_key").count().where("count > 1").limit(1).count()
-    if repeats:  # rows that are alike in doc_id and text: one of them
-        named = "loom_row_key"
-        out = out.withColumn(named, F.xxhash64(F.col("doc_id").cast("string"), F.col("text").cast("string"))).dropDuplicates(["doc_id", named]).drop(named)
-    return out
+    rooted = _of_component(_rooted(prints, pick, "pick"), "pick", "best")
+    grouped = rooted.where((F.col("n") > 1) | (F.col("pick") != F.col("best"))).select(F.col("fp").alias("of_fp"), F.col("best.doc_id").alias("best_id"), F.col("best.row_key").alias("best_key"), "n")
+    rows = with_facts(prints, grouped, "fp", "of_fp", "n")
+    mine, its, id_name, key_name = F.col("row_key"), F.col("best_key"), fresh_name(docs, "gone_id"), fresh_name(docs, "gone_key")
+    gone = checkpointed(rows.where(~(F.col("doc_id").eqNullSafe(F.col("best_id")) & (mine == its))).select(F.col("doc_id").alias(id_name), mine.alias(key_name)).distinct())
+    alike = rows.where(F.col("doc_id").eqNullSafe(F.col("best_id")) & (mine == its)).groupBy("doc_id", "row_key").count().where("count > 1")
+    alike = checkpointed(alike.select(F.col("doc_id").alias(id_name), mine.alias(key_name)))
+    key = F.xxhash64(F.col("doc_id"), F.col("text").cast("string"))
+
+    def among(rows: DataFrame, some: DataFrame, how: str) -> DataFrame:
+        some = F.broadcast(some) if some.count() <= BROADCAST_ROWS else some.hint("shuffle_hash")
+        return rows.join(some, F.col("doc_id").eqNullSafe(F.col(id_name)) & (key == F.col(key_name)), how)
+
+    out = among(docs, gone, "left_anti")
+    if alike.isEmpty():
+        return out
+    once = among(out, alike, "left_semi").withColumn(key_name, key).dropDuplicates(["doc_id", key_name]).drop(key_name)
+    return among(out, alike, "left_anti").unionByName(once)

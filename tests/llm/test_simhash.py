@@ -4,9 +4,10 @@ import re
 import numpy as np
 import pytest
 import xxhash
+from pyspark.sql import Row
 
+from loomgraph.llm import common, simhash
 from loomgraph.llm import components as cc
-from loomgraph.llm import simhash
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -106,3 +107,27 @@ def test_repeats_nulls_and_empty(spark):
     kept = sorted(map(tuple, simhash.representatives(docs).collect()), key=repr)
     assert kept == sorted([(1, "a b c d e"), (2, "completely other words stand here"), (None, None)], key=repr)
     assert simhash.near_duplicates(docs.limit(0)).count() == 0
+
+
+def test_columns_with_clashing_names_and_any_share_of_broadcasts(spark, monkeypatch):
+    rows = [(i, f"one two three four {i % 7 if i < 90 else 'five'}", i, -i, 2 * i, "x", "y") for i in range(100)] + [(3, "one two three four 3", 1, 1, 1, "x", "y")] * 2
+    docs = spark.createDataFrame(rows, "doc_id long, text string, kept_id long, kept_key int, loom_row_key int, gone_id string, GONE_KEY string")
+    want = brute_components({r[0]: brute_print(r[1]) for r in rows})
+    for limit in (200_000, 0):
+        monkeypatch.setattr(simhash, "BROADCAST_ROWS", limit)
+        monkeypatch.setattr(simhash, "with_facts", lambda *a, limit=limit: common.with_facts(*a, limit=limit))
+        kept = simhash.representatives(docs)
+        assert kept.columns == docs.columns
+        assert sorted(r.doc_id for r in kept.collect()) == sorted(set(want.values()))
+        assert {r.doc_id: r.component_id for r in simhash.near_duplicates(docs).collect()} == want
+
+
+def test_facts_meet_hot_keys_and_nulls(spark):
+    rows = [("hot", i) for i in range(3000)] + [(None, i) for i in range(50)] + [(f"k{i % 40}", i) for i in range(200)]
+    frame = spark.createDataFrame(rows, "k string, v int")
+    facts = frame.groupBy(frame.k.alias("of")).count().selectExpr("of", "count as n", "concat('f-', coalesce(of, 'null')) as fact")
+    for limit in (1000, 0):
+        got = common.with_facts(frame, facts, "k", "of", "n", limit=limit)
+        assert common.with_facts(frame, facts.where("n < 6"), "k", "of", "n", "left", limit=limit).count() == len(rows)
+        assert got.columns == ["k", "v", "fact"]
+        assert sorted(map(repr, got.collect())) == sorted(repr(Row(k=k, v=v, fact=f"f-{k or 'null'}")) for k, v in rows)
