@@ -1,7 +1,7 @@
 import duckdb
 import pandas as pd
 
-from loomgraph.llm import mixing
+from loomgraph.llm import common, mixing
 
 ROWS = [(i, " ".join(["w"] * (i % 50)), f"s{i % 7}") for i in range(400)] + [(900, None, None), (901, "a\x0bb c", None), (None, "x y", "s1"), (3, "w w w", "s3"), (902, "tiny", "a"), (903, "", "zero")]
 
@@ -35,3 +35,23 @@ def test_emitted_copies_agree_with_the_mix(spark):
     assert out.columns == [*docs.columns, "mix_copy"]
     assert out.count() == mixing.mixed(docs).agg({"copies": "sum"}).first()[0]
     assert mixing.mixed(docs.limit(0)).count() == 0
+
+
+def test_columns_with_clashing_names(spark):
+    docs = spark.createDataFrame([(i, "a b c", f"s{i % 3}", 1.5, i, "c", 7) for i in range(40)] + [(41, None, None, 0.0, 0, "c", 7)], "doc_id long, text string, source string, mix_rate double, mix_copies int, mix_source string, mix_copy int")
+    out = mixing.emitted(docs)
+    assert out.columns == [*docs.columns, "mix_copy_"]
+    rows = out.collect()
+    assert len(rows) == mixing.mixed(docs).agg({"copies": "sum"}).first()[0]
+    assert {(r.mix_copies == r.doc_id, r.mix_rate, r.mix_source, r.mix_copy) for r in rows} == {(True, 1.5, "c", 7)}
+
+
+def test_many_sources_without_a_broadcast(spark, monkeypatch):
+    rows = [(i, " ".join(["w"] * (i % 9)), "hot" if i % 3 == 0 else f"s{i}") for i in range(900)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    few = {(r.doc_id, r.target, r.taken) for r in mixing.mixed(docs).collect()}
+    monkeypatch.setattr(mixing, "with_facts", lambda *a: common.with_facts(*a, limit=10))
+    assert {(r.doc_id, r.target, r.taken) for r in mixing.mixed(docs).collect()} == few
+    documents = pd.DataFrame(rows, columns=["doc_id", "text", "source"])  # noqa: F841
+    want = duckdb.connect().execute(mixing.ORACLE_SQL).fetchall()
+    assert {(r[0], round(r[4], 9), r[7]) for r in want} == {(a, round(b, 9), c) for a, b, c in few}
