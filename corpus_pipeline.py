@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from loomgraph.llm import decontam, mixing, quality, secrets, simhash
-from loomgraph.llm.common import table
+from loomgraph.llm.common import discard, table, written
 
 
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -50,8 +50,11 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over documents."""
-    docs = table(spark, sf_dir, "documents")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
-    return docs
+    """All stages over documents; each but the last is written to the shared folder and read again by the next."""
+    docs, before = table(spark, sf_dir, "documents"), None
+    for _, stage in STAGES[:-1]:
+        docs, path = written(stage(spark, docs, sf_dir), "stage")
+        if before:
+            discard(spark, before)
+        before = path
+    return STAGES[-1][1](spark, docs, sf_dir)
