@@ -129,15 +129,15 @@ def run(spark: SparkSession, paths: list[str], target: str, backend: str = setti
         if mode not in MODES:
             raise PipelineError(f"unknown mode {mode}", "config")
         wanted = wanted or settings.StoreSettings(target)
-        g, owner = linked(spark, paths).kept(f"{target}/_plan"), uuid.uuid4().hex
-        warnings = list(g.context.get("warnings", []))
-        fields = fulltext.fields_of(g)
-        about = context.with_search(context.build(g), fields["concept"], fields["item"], fields["source"], wanted.fulltext_analyzer)
         if mode == "update":
-            asked = replace(about, embedding_model=wanted.embedding_model if wanted.embedding_fields else "", embedding_fields=",".join(wanted.embedding_fields))
+            asked = context.Context(fulltext_analyzer=wanted.fulltext_analyzer, embedding_model=wanted.embedding_model if wanted.embedding_fields else "", embedding_fields=",".join(wanted.embedding_fields))
             changed = context.incompatible(context.read(spark, target), asked)
             if changed:
                 raise StoreError("an update cannot change how the tables were made; rebuild them", details="; ".join(changed))
+        g, owner = linked(spark, paths).kept(f"{target}/_plan"), uuid.uuid4().hex
+        warnings = list(g.context.get("warnings", []))
+        fields = fulltext.fields_of(g)
+        about = context.with_search(context.build(g), fields["concept"], fields["item"], fields["source"], wanted.fulltext_analyzer)
         sinks.begin(spark, target, owner)
         stored(g, target, mode, owner)
         sinks.rebuild(fulltext.graph_index(g, wanted.fulltext_analyzer), f"{target}/fulltext")
