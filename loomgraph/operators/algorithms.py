@@ -106,32 +106,44 @@ def numbered(names: DataFrame) -> DataFrame:
 
 
 def _local_brandes(start: np.ndarray, target: np.ndarray, sources: np.ndarray) -> np.ndarray:
-    """Sums of dependencies over the given sources; start: where each vertex's out-edges begin in target."""
+    """Sums of dependencies over the given sources; start: where each vertex's out-edges begin in target.
+
+    Distances come first; then the edges that lead one step down are put in order of depth once, for both sweeps.
+    """
     n = len(start) - 1
+    degree = np.diff(start)
+    tail = np.repeat(np.arange(n), degree)
     score = np.zeros(n)
     for s in sources:
         distance = np.full(n, -1, np.int32)
-        paths = np.zeros(n)
-        distance[s], paths[s] = 0, 1.0
-        front, levels = np.array([s]), []
+        distance[s], front, depth = 0, np.array([s]), 0
         while len(front):
-            count = start[front + 1] - start[front]
-            tail = np.repeat(front, count)
-            head = target[np.repeat(start[front] - np.cumsum(count) + count, count) + np.arange(count.sum())]
-            fresh = distance[head] < 0
-            new = np.unique(head[fresh])
-            distance[new] = distance[tail[0]] + 1 if len(tail) else 0
-            down = distance[head] == distance[tail] + 1
-            tail, head = tail[down], head[down]
-            paths += np.bincount(head, paths[tail], n)
-            levels.append((tail, head))
-            front = new
-        dependency = np.zeros(n)
-        for tail, head in reversed(levels):
-            if len(tail):
-                dependency += np.bincount(tail, paths[tail] / paths[head] * (1 + dependency[head]), n)
-        dependency[s] = 0
-        score += dependency
+            if 4 * len(front) > n:
+                near = target[distance[tail] == depth]
+            else:
+                count = degree[front]
+                near = target[np.repeat(start[front] - np.cumsum(count) + count, count) + np.arange(count.sum())]
+            fresh = np.zeros(n, bool)
+            fresh[near] = True
+            front = np.flatnonzero(fresh & (distance < 0))
+            depth += 1
+            distance[front] = depth
+        level = distance[tail]
+        down = np.flatnonzero((distance[target] == level + 1) & (level >= 0))
+        level = level[down]
+        down = down[np.argsort(level.astype(np.int16) if depth < 1 << 15 else level, kind="stable")]
+        above, below = tail[down], target[down]
+        ends = np.cumsum(np.bincount(level, minlength=depth)).tolist()
+        steps = [(above[a:b], below[a:b]) for a, b in zip([0, *ends], ends, strict=False)]
+        paths = np.zeros(n)
+        paths[s] = 1.0
+        for x, y in steps:
+            paths += np.bincount(y, paths[x], n)
+        gained = np.zeros(n)
+        for x, y in reversed(steps):
+            gained += paths * np.bincount(x, ((1 + gained) / np.where(paths > 0, paths, 1))[y], n)
+        gained[s] = 0
+        score += gained
     return score
 
 
