@@ -466,9 +466,16 @@ def k3_betweenness(g: Graph) -> DataFrame:
 
 @on_graph
 def k4_louvain(g: Graph) -> DataFrame:
+    """Communities for a graph of any size."""
     return algorithms.louvain(projection.relates_to(g))
 
 
+@on_graph
+def k4_louvain_in_one_task(g: Graph) -> DataFrame:
+    """Communities for a graph that fits one task."""
+    return algorithms.louvain_in_one_task(projection.relates_to(g))
+
+
 @on_graph
 def k8_closure(g: Graph) -> DataFrame:
     return taxonomy.closure(g.hierarchy)
