@@ -2,6 +2,8 @@ import hashlib
 import random
 import re
 
+import zstandard
+
 from loomgraph.llm import secrets
 
 PATTERNS = [
@@ -74,3 +76,59 @@ def test_values_behind_names_within_a_run():
 def test_runs_of_short_values_are_judged_whole():
     text = "credential: Xq7Z_p0LxW3v=Tn8KdR5sYb2"
     assert [text[s:e] for s, _, e, _ in secrets.spans_of(text.encode())[1]] == ["Xq7Z_p0LxW3v=Tn8KdR5sYb2"]
+
+
+def plain_novelty(before, run, after):
+    """Bytes that a run adds behind its surroundings, with a compressor made anew."""
+    words = secrets.IDENTIFIERS.split()
+    raw = " ".join([*words, *(w.capitalize() for w in words), *(w.upper() for w in words)]).encode()
+    primed = zstandard.ZstdCompressionDict(raw, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+    size = lambda x: len(zstandard.ZstdCompressor(level=12, dict_data=primed, write_content_size=False, write_checksum=False).compress(x))
+    known = (after + "\n" + before).encode()
+    return (size(known + run.encode()) - size(known)) / len(run.encode())
+
+
+def plain_novel(text):
+    """Every run of 16 or more letters and digits, both among them, up to 64 characters behind a sensitive word, off base spans."""
+    low = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text)
+    ends = {i + len(w) for w in secrets.SENSITIVE for i in range(len(low)) if low.startswith(w, i)}
+    base = brute(text)
+    out = []
+    for m in re.finditer("[A-Za-z0-9]+", text):
+        s, e = m.span()
+        run = m.group()
+        if e - s < 16 or run.isalpha() or run.isdigit() or any(k[0] < e and k[2] > s for k in base):
+            continue
+        if any(0 <= s - x <= 64 for x in ends) and plain_novelty(text[max(0, s - 600) : s], run, text[e : e + 600]) >= 0.7:
+            out.append((s, e))
+    return out
+
+
+def test_novel_spans_against_brute_force():
+    rng = random.Random(12)
+    keys = ["".join(rng.choice("abcdefghijkmnpqrstuvwxyzABCDEFGHJKLMNPQRSTUVWXYZ23456789") for _ in range(rng.choice([12, 16, 24, 40]))) for _ in range(30)]
+    bits = ["credential", "Private", "BEARER", "cookie", "plain words stand here", "internationalization", "connection2timeout3value", "aaaaaaaaaaaaaaaa1", "1234567890123456", "x " * 40, "\n", ": ", "token=abcdefgh12345678", "0123456789abcdef0123"]
+    some = 0
+    for _ in range(150):
+        text = " ".join(rng.choice(bits + keys) for _ in range(rng.randrange(0, 30)))
+        every = secrets.spans_of(text.encode())[1]
+        got = [(s, e) for s, k, e, _ in every if k == 3]
+        assert got == plain_novel(text), text
+        some += len(got)
+    assert some > 100
+
+
+def test_the_scan_is_set_by_its_parameters():
+    text = "credential " + "word " * 40 + "q7Zp0LxW3vTn8KdR5sYb2HfMc4Gj9Ue6Xa1Nh0Bt"
+    assert secrets.spans_of(text.encode())[1] == []
+    assert len(secrets.spans_of(text.encode(), secrets.Scan(reach=500))[1]) == 1
+    letters = "credential qzkvjwpxmrtyuhgbnd"
+    assert secrets.spans_of(letters.encode())[1] == []
+    assert len(secrets.spans_of(letters.encode(), secrets.Scan(mixed=False))[1]) == 1
+
+
+def test_repeats_and_clashing_names(spark):
+    docs = spark.createDataFrame([(1, f"credential {VALUE}", "a", 1), (1, f"credential {VALUE}", "a", 1), (None, None, "a", 1)], "doc_id long, text string, spans string, n_novel int")
+    got = secrets.findings(docs).collect()
+    assert [r.n_novel for r in got] == [1, 1, 0] and got[0] == got[1]
+    assert secrets.scrubbed(docs).columns == docs.columns
