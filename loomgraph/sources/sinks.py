@@ -88,14 +88,20 @@ def _files(spark: SparkSession, path: str):
 
 
 def write_state(spark: SparkSession, root: str, state: LoadState) -> None:
-    spark.createDataFrame([(json.dumps(asdict(state)),)], "value string").coalesce(1).write.mode("overwrite").text(f"{root}/_load_state")
+    """One small file, written through the file system: a sign of life should cost no job."""
+    out = _files(spark, root).create(_path(spark, f"{root}/_load_state.json"), True)
+    out.writeBytes(json.dumps(asdict(state)) + "\n")
+    out.close()
 
 
 def read_state(spark: SparkSession, root: str) -> LoadState | None:
     """The stored state; none means a complete graph of before there were states, or no graph."""
-    if not _files(spark, root).exists(_path(spark, f"{root}/_load_state")):
+    if not exists(spark, f"{root}/_load_state.json"):
         return None
-    return LoadState(**json.loads(spark.read.text(f"{root}/_load_state").first().value))
+    held = _files(spark, root).open(_path(spark, f"{root}/_load_state.json"))
+    line = held.readLine()
+    held.close()
+    return LoadState(**json.loads(line))
 
 
 class Busy(StoreError):
