@@ -1,3 +1,4 @@
+import numpy as np
 import pytest
 
 from loomgraph.operators import algorithms as alg
@@ -28,6 +29,40 @@ def test_betweenness_of_closed_forms(spark, local):
     assert got == pytest.approx({"s": 0, "a": 0.5, "b": 0.5, "t": 0})
 
 
+def test_betweenness_stays_within_components(spark):
+    path = [(f"{c}{i}", f"{c}{i + 1}") for c in "abc" for i in range(4)]
+    got = {r.name: r.betweenness for r in alg.betweenness(edges(spark, path)).collect()}
+    assert got == pytest.approx({f"{c}{i}": i * (4 - i) for c in "abc" for i in range(5)})
+    u, v = np.array([0, 3, 5]), np.array([2, 1, 3])
+    assert alg._components(6, u, v).tolist() == [0, 1, 0, 1, 4, 1]
+
+
+@pytest.mark.parametrize("alone", [0.001, 1, 10**9])
+def test_betweenness_steps_of_each_kind_are_equal(monkeypatch, alone):
+    """Along pairs or over whole blocks, with a hub of several rows, by one source after the other."""
+    rng = np.random.default_rng(1)
+    n = 200
+    u, v = np.divmod(np.unique(np.concatenate([rng.integers(0, n * n, 500), np.arange(1, n), np.arange(1, n) * n])), n)
+    u, v = u[u != v], v[u != v]
+    want = np.zeros(n)
+    for s in range(n):
+        distance, paths, levels = {s: 0}, np.zeros(n), [[s]]
+        paths[s] = 1
+        while levels[-1]:
+            step = np.isin(u, levels[-1]) & ~np.isin(v, list(distance))
+            np.add.at(paths, v[step], paths[u[step]])
+            levels.append(np.unique(v[step]).tolist())
+            distance.update(dict.fromkeys(levels[-1], len(levels) - 1))
+        far, gained = np.array([distance.get(x, -9) for x in range(n)]), np.zeros(n)
+        for d in range(len(levels) - 1, 0, -1):
+            step = (far[u] == d - 1) & (far[v] == d)
+            np.add.at(gained, u[step], paths[u[step]] / paths[v[step]] * (1 + gained[v[step]]))
+        gained[s] = 0
+        want += gained
+    monkeypatch.setattr(alg, "ALONE", alone)
+    assert alg._local_brandes(alg.Adjacency(n, u, v), np.arange(n)) == pytest.approx(want)
+
+
 def test_betweenness_normalized_and_sampled(spark):
     star = [(f"x{i}", "hub") for i in range(5)] + [("hub", f"x{i}") for i in range(5)]
     got = {r.name: r.betweenness for r in alg.betweenness(edges(spark, star), normalized=True).collect()}
