@@ -63,6 +63,37 @@ def test_betweenness_steps_of_each_kind_are_equal(monkeypatch, alone):
     assert alg._local_brandes(alg.Adjacency(n, u, v), np.arange(n)) == pytest.approx(want)
 
 
+@pytest.mark.parametrize("alone", [0.001, 15, 10**9])
+@pytest.mark.parametrize("kept", [0, 100, 10**6])
+@pytest.mark.parametrize("deep", [3, 8, 14, 40])
+def test_betweenness_of_many_shortest_paths(monkeypatch, alone, kept, deep):
+    """Three vertices a layer, each with all of the next: 3 ** 39 paths are more than two, four or eight bytes hold."""
+    monkeypatch.setattr(alg, "ALONE", alone)
+    monkeypatch.setattr(alg, "KEPT", kept)
+    monkeypatch.setattr(alg, "CELLS", 50 * deep)  # 16 sources at once
+    pairs = [(3 * i + a, 3 * i + 3 + b) for i in range(deep - 1) for a in range(3) for b in range(3)]
+    u, v = np.array(pairs).T
+    got = alg._local_brandes(alg.Adjacency(3 * deep, u, v), np.arange(3 * deep))
+    assert got == pytest.approx(np.repeat([3 * i * (deep - 1 - i) for i in range(deep)], 3))
+
+
+@pytest.mark.parametrize("held", [10**6, 0])
+def test_metrics_over_one_numbering_are_the_same(spark, monkeypatch, held):
+    pairs = cliques() + [("c3", "d"), ("d", "d"), ("d", "a1"), ("b2", "d")]
+    e = spark.createDataFrame([(a, b, 1 + len(a + b) % 2 * 2) for a, b in pairs], "source string, target string, weight long").union(
+        spark.createDataFrame([("a1", "", 2), ("", "b1", 1), ("b3", None, 4)], "source string, target string, weight long")
+    )
+    named, known = e.where("target is not null"), e.selectExpr("explode(array(source, target)) AS name").where("name <> ''").distinct()
+    want = {r.name: r for r in alg.pagerank(e, known).join(alg.betweenness(named), "name").join(alg.louvain(named), "name").collect()}
+    calls, numbered, louvain = [], alg.numbered, alg._louvain
+    monkeypatch.setattr(alg, "_louvain", lambda *a, held_vertices: louvain(*a))  # its joins have a test of their own
+    monkeypatch.setattr(alg, "numbered", lambda names: calls.append(1) or numbered(names))
+    got = {r.name: r for r in alg.central(e, held_vertices=held).collect()}
+    assert got.keys() == want.keys() and len(got) == 19 and (len(calls) == 1 or not held)
+    for name, r in got.items():
+        assert (r.pagerank, r.betweenness, r.community) == (pytest.approx(want[name].pagerank), pytest.approx(want[name].betweenness), want[name].community)
+
+
 def test_betweenness_normalized_and_sampled(spark):
     star = [(f"x{i}", "hub") for i in range(5)] + [("hub", f"x{i}") for i in range(5)]
     got = {r.name: r.betweenness for r in alg.betweenness(edges(spark, star), normalized=True).collect()}

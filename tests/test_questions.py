@@ -121,3 +121,10 @@ def test_questions_about_communities_hold_no_graph_in_one_task(graph, monkeypatc
     assert catalog._metric_table.__defaults__ == (catalog.algorithms.louvain,)  # l4, l18, l24
     monkeypatch.setattr(catalog.algorithms, "louvain_in_one_task", None)
     assert set(catalog.l5_communities(graph).columns) == {"community", "total", "examples"}
+
+
+def test_bridges_number_the_graph_once(graph, monkeypatch):
+    calls, numbered = [], catalog.algorithms.numbered
+    monkeypatch.setattr(catalog.algorithms, "numbered", lambda names: calls.append(1) or numbered(names))
+    catalog.l4_bridges(graph)
+    assert len(calls) == 1
