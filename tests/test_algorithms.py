@@ -146,6 +146,30 @@ def test_communities_by_joins_are_the_planted_ones(spark):
     assert {r.name: r.community for r in got.collect()} == {f"{c}{i}": f"{c}0" for c in "abc" for i in range(6)}
 
 
+def test_communities_settle_where_neighbours_keep_moving_past_each_other(spark):
+    """All gains that vertices expect here never end: halves of a complete bipartite graph, and a random graph without communities."""
+    n, rng = 400, np.random.default_rng(3)
+    halves = np.repeat(np.arange(200), 200), 200 + np.tile(np.arange(200), 200)
+    big = 20_000
+    for size, a, b in ((n, *halves), (big, rng.integers(0, big, 4 * big), rng.integers(0, big, 4 * big))):
+        u, v, weight = np.concatenate([a, b]), np.concatenate([b, a]), np.ones(2 * len(a))
+        at = alg._in_memory([alg._block(u, v, weight, size)], size, weight.sum(), 1)[0]
+        share = np.bincount(at, np.bincount(u, minlength=size), size) / len(u)
+        quality = (at[u] == at[v]).mean() - share @ share
+        assert quality >= (0.0 if size == n else 0.25) - 1e-9
+    e = edges(spark, [(f"a{i}", f"b{j}") for i in range(30) for j in range(30)])
+    assert alg.louvain(e).count() == alg.louvain_in_one_task(e).count() == 60
+
+
+def test_a_pass_keeps_its_best_state():
+    course = alg.Course()
+    assert [course.over(i, q) for i, q in enumerate([0.1, 0.2, 0.15, 0.2005, 0.1])] == [False, False, False, True, True]
+    assert (course.best, course.first, course.most) == (3, 0.1, 0.2005)
+    course = alg.Course()
+    assert [course.over(i, q) for i, q in enumerate([0.1, 0.05, 0.08])] == [False, False, True]
+    assert (course.best, course.most) == (2, 0.08)
+
+
 def test_closure_of_a_diamond_and_a_cycle(spark):
     up = spark.createDataFrame([("a", "b"), ("a", "c"), ("b", "d"), ("c", "d"), ("x", "y"), ("y", "x")], "child string, parent string")
     got = {(r.node, r.ancestor): r.depth for r in taxonomy.closure(up).collect()}
